@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["flows", "relational"]
+AREAS = ["flows", "relational", "corpus"]
 
 
 def _collect(attribute: str) -> dict:

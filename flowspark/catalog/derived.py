@@ -104,7 +104,7 @@ FROM (
 RESPONSES = f"""
 SELECT flow, CASE
     WHEN flow % 13 = 1 THEN replace(doc, '"order":', '"position":')
-    WHEN flow % 13 = 2 THEN replace(doc, ']}}}}', '],}}}}')
+    WHEN flow % 13 = 2 THEN replace(doc, '"steps":', '"steps" ')
     WHEN flow % 13 = 3 THEN replace(replace(doc, '"order":', '"order":"'), ',"sql":', '","sql":')
     WHEN flow % 13 = 4 THEN replace(doc, '"name":"LOAD_1"', '"name":1')
     WHEN flow % 13 = 5 THEN ''
