@@ -163,10 +163,9 @@ def _facts(steps: DataFrame, pattern: str, fold_case: bool = True) -> DataFrame:
     return steps.select("flow", "name", F.explode(F.array_distinct(found)).alias("fact"))
 
 
-def _asked_elsewhere(facts: DataFrame, asked: DataFrame) -> DataFrame:
-    """Facts that some other step of the flow asks about; the rest need no carrying."""
-    wanted = asked.groupBy("flow", "fact").agg(F.min("name").alias("low"), F.max("name").alias("high"))
-    return facts.join(wanted, ["flow", "fact"]).filter("low <> name OR high <> name").select("flow", "name", "fact")
+def _asked(facts: DataFrame, asked: DataFrame) -> DataFrame:
+    """Facts that some step of the flow asks about; the rest need no carrying."""
+    return facts.join(asked.select("flow", "fact").distinct(), ["flow", "fact"], "left_semi").select("flow", "name", "fact")
 
 
 def _known_links(steps: DataFrame) -> DataFrame:
@@ -185,19 +184,19 @@ def view_not_upstream(steps: DataFrame) -> DataFrame:
 
 def repeated_null_filter(steps: DataFrame) -> DataFrame:
     own = _facts(steps, NOT_NULL)
-    carried = inherited(_known_links(steps), _asked_elsewhere(own, own))
+    carried = inherited(_known_links(steps), own)
     return _finding(own.join(carried, ["flow", "name", "fact"], "left_semi"), "repeated_null_filter", F.col("fact"), "name")
 
 
 def repeated_source(steps: DataFrame) -> DataFrame:
     own = _facts(steps, TABLE_VARIABLE, fold_case=False)
-    carried = inherited(_known_links(steps), _asked_elsewhere(own, own))
+    carried = inherited(_known_links(steps), own)
     return _finding(own.join(carried, ["flow", "name", "fact"], "left_semi"), "repeated_source", F.col("fact"), "name")
 
 
 def unsafe_aggregate(steps: DataFrame) -> DataFrame:
     summed, filtered = _facts(steps, BARE_SUM), _facts(steps, NOT_NULL)
-    carried = inherited(_known_links(steps), _asked_elsewhere(filtered, summed))
+    carried = inherited(_known_links(steps), _asked(filtered, summed))
     guarded = filtered.unionByName(carried)
     return _finding(summed.join(guarded, ["flow", "name", "fact"], "left_anti"), "unsafe_aggregate", F.col("fact"), "name")
 
