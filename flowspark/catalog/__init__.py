@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["flows", "relational", "corpus", "lint"]
+AREAS = ["flows", "relational", "corpus", "lint", "evaluation", "metadata"]
 
 
 def _collect(attribute: str) -> dict:
