@@ -229,11 +229,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a lazy plan over the given parquet tables."""
-    text = ALL[name]
+    text = render(name, SPARK)
     for source in TABLES:
         if f" {source}" in text:
             table(spark, sf_dir, source).createOrReplaceTempView(source)
-    return spark.sql(render(name, SPARK))
+    return spark.sql(text)
 
 
 def with_tables(*names: str) -> str:

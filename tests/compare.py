@@ -63,7 +63,7 @@ if __name__ == "__main__":
     args = sys.argv[1:]
     sf = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
     spark = local_session()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = oracle(sf)
     names = [n for n in catalog.queries() if not args or any(n.startswith(a) for a in args)]
     bad = 0
