@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ["flows", "relational", "corpus", "lint", "evaluation", "metadata", "requests"]
+AREAS = ["flows", "relational", "corpus", "lint", "evaluation", "metadata", "requests", "streams"]
 
 
 def _collect(attribute: str) -> dict:
