@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowspark.functions.text import safe_name, strip
 from flowspark.operators.corpus import parse_flows
@@ -32,7 +33,9 @@ def write_flows(documents: DataFrame, folder: str, description: str | None = Non
 
 
 def read_written(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(f"{FLOW.simpleString()[7:-1]}, safe_name string".replace("$date", "`$date`")).json(folder)
+    """Documents stored by ``write_flows``, with their folder name."""
+    schema = T.StructType([*FLOW.fields, T.StructField("safe_name", T.StringType())])
+    return spark.read.schema(schema).json(folder)
 
 
 def description_lines(files: DataFrame, text: Column | str = "value", *keys: str) -> DataFrame:
