@@ -19,6 +19,11 @@ def steps(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumn("parents", F.when(F.col("parents") == "", empty).otherwise(F.split("parents", ",")))
 
 
+def stored_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """The step table written once, for operators that read it several times."""
+    return cut_lineage(steps(spark, sf))
+
+
 def extract_json(spark: SparkSession, sf: str) -> DataFrame:
     return derived(spark, sf, "responses").select("flow", X.json_object("response").alias("json"))
 
@@ -40,15 +45,15 @@ def parse_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return G.edges(steps(spark, sf))
+    return G.edges(stored_steps(spark, sf))
 
 
 def step_levels(spark: SparkSession, sf: str) -> DataFrame:
-    return G.step_levels(steps(spark, sf)).drop("pos")
+    return G.step_levels(stored_steps(spark, sf)).drop("pos")
 
 
 def order_diff(spark: SparkSession, sf: str) -> DataFrame:
-    s = steps(spark, sf)
+    s = stored_steps(spark, sf)
     return G.order_diff(s, G.step_levels(s)).drop("pos")
 
 
@@ -61,7 +66,7 @@ def optimize_flows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fan_out(spark: SparkSession, sf: str) -> DataFrame:
-    return G.fan_out(steps(spark, sf))
+    return G.fan_out(stored_steps(spark, sf))
 
 
 def flow_step_listing(spark: SparkSession, sf: str) -> DataFrame:
@@ -73,15 +78,15 @@ def flow_variables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def step_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    return L.step_sources(steps(spark, sf))
+    return L.step_sources(stored_steps(spark, sf))
 
 
 def target_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    return L.target_lineage(steps(spark, sf))
+    return L.target_lineage(stored_steps(spark, sf))
 
 
 def step_reads(spark: SparkSession, sf: str) -> DataFrame:
-    return L.view_reads(steps(spark, sf))
+    return L.view_reads(stored_steps(spark, sf))
 
 
 def build_eval_prompts(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.catalog.corpus import CLOSURE, EDGES, LEVELS, READS, STEPS, steps
+from flowspark.catalog.corpus import CLOSURE, EDGES, LEVELS, READS, STEPS, steps, stored_steps
 from flowspark.operators import lint as L
 
 RULES = [
@@ -30,12 +30,12 @@ def _renamed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _rule(rule: str, spark: SparkSession, sf: str) -> DataFrame:
-    source = _renamed if rule in ("duplicate_step", "step_prefix") else steps
+    source = _renamed if rule in ("duplicate_step", "step_prefix") else stored_steps if rule in L.GRAPH_RULES else steps
     return L.lint(source(spark, sf), [rule])
 
 
 def lint_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return L.lint(steps(spark, sf)).groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("flow").alias("n_flows"))
+    return L.lint(stored_steps(spark, sf)).groupBy("rule").agg(F.count("*").alias("n"), F.count_distinct("flow").alias("n_flows"))
 
 
 QUERIES = {f"lint_{rule}": partial(_rule, rule) for rule in RULES}

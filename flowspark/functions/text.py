@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters stripped at both ends of a text (fixed values).
 WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
-FENCE = r"```(?:json)?\s*\n?([\s\S]*?)\n?```"
-OBJECT = r"(\{[\s\S]*\})"
+FENCE = "```"
 
 # Error classes in the order they are tried, with the words that mark them (fixed values).
 ERROR_WORDS = [
@@ -24,18 +25,36 @@ def strip(text: Column | str) -> Column:
     return F.trim(text, F.lit(WHITESPACE))
 
 
+def _last_brace(text: Column) -> Column:
+    """Place of the last closing brace, 0 without one."""
+    return F.when(text.contains("}"), F.length(text) - F.length(F.substring_index(text, "}", -1))).otherwise(0)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def json_object(text: Column | str) -> Column:
     """The JSON object in a model answer: inside the first code fence if there is
-    one, from the first ``{`` to the last ``}``; NULL where there is none."""
-    body = strip(text)
-    inner = F.when(body.rlike(FENCE), F.regexp_extract(body, FENCE, 1)).otherwise(body)
-    return F.nullif(F.regexp_extract(inner, OBJECT, 1), F.lit(""))
+    one, from the first ``{`` to the last ``}``; NULL where there is none.
+
+    What stands between fence and brace does not matter, so plain searches do.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+
+    def braces(inner: Column) -> Column:
+        first, last = F.instr(inner, "{"), _last_brace(inner)
+        return F.when((first > 0) & (last > first), F.substring(inner, first, last - first + 1))
+
+    inner = _with(F.split(text, FENCE, 3), lambda p: F.when(F.size(p) == 3, F.get(p, 1)).otherwise(F.array_join(p, FENCE)))
+    return _with(inner, braces)
 
 
 def truncated(text: Column | str) -> Column:
     """An opening brace with no closing brace after it."""
     text = F.col(text) if isinstance(text, str) else text
-    return text.contains("{") & ~text.rlike(OBJECT)
+    return text.contains("{") & (_last_brace(text) < F.instr(text, "{"))
 
 
 def safe_name(name: Column | str) -> Column:

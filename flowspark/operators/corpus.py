@@ -71,14 +71,14 @@ _FLOW_TYPED = f"""named_struct(
 
 
 def strict_json(text: Column, schema: str) -> Column:
-    """Parse one JSON object and nothing else.
+    """Parse one JSON value and nothing else; NULL where there is more or less.
 
-    ``from_json`` alone takes trailing text and single quotes; wrapped as the
-    only member of another object, such input fails or adds a member.
+    ``from_json`` alone takes trailing text and single quotes. As the only
+    element of an array, such text fails or gives a second element.
     """
-    wrapped = F.concat(F.lit('{"v":'), text, F.lit("}"))
-    parsed = F.from_json(wrapped, schema, {"allowSingleQuotes": "false"})
-    return F.when(F.json_object_keys(wrapped) == F.array(F.lit("v")), parsed["v"])
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))
+    parsed = F.from_json(wrapped, f"ARRAY<{schema}>", {"allowSingleQuotes": "false"})
+    return F.get(F.filter(F.array(parsed), lambda found: F.size(found) == 1), 0)[0]
 
 
 def parse_flows(responses: DataFrame, text: str = "response") -> DataFrame:

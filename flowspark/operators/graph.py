@@ -137,9 +137,10 @@ def inherited(links: DataFrame, facts: DataFrame) -> DataFrame:
 
     A round extends only what the round before it found new. The result holds
     (flow, step, fact), never pairs of steps, so its size is steps times facts
-    that truly reach them. Cycles end it because facts are finite.
+    that truly reach them. Cycles end it because facts are finite. ``links`` is
+    read every round, so it should be a stored table.
     """
-    links = cut_lineage(links.select("flow", F.col("parent").alias("name"), "child"))
+    links = links.select("flow", F.col("parent").alias("name"), "child")
     fresh = facts.select("flow", "name", "fact").distinct()
     known: list[DataFrame] = []
     while True:

@@ -8,16 +8,20 @@ so approximations by design.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.operators.graph import edges, inherited, placed_levels
+from flowspark.session import cut_lineage
 
 STEP_PREFIXES = "^(LOAD|FILTER|TRANSFORM|JOIN|AGGREGATE|ENRICH|SAVE)_"
-WORD = "[A-Za-z_][A-Za-z0-9_]*"
-SOURCE_NAME = r"(?i)\b(?:FROM|JOIN)\s+([A-Za-z_][A-Za-z0-9_.]*)"
+# FROM and JOIN targets; after FROM also the further ones of a comma list
+SOURCES = (
+    r"(?i)\b(?:FROM|JOIN)\s+([A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?\w+)?"
+    r"(?:\s*,\s*[A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?\w+)?)*)"
+)
 NOT_NULL = r"(?i)(\w+)\s+IS\s+NOT\s+NULL"
 BARE_SUM = r"(?i)\bSUM\(\s*(\w+)\s*\)"
 TABLE_VARIABLE = r"\$\{(\w+)\}"
@@ -85,52 +89,100 @@ def check_flows(steps: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_step(steps: DataFrame) -> DataFrame:
-    twice = steps.groupBy("flow", "name").agg(F.count("*").alias("n")).filter("n > 1")
+class Shared:
+    """What several rules about the graph need, each computed once and stored."""
+
+    def __init__(self, steps: DataFrame, kinds: Iterable[str] = ("view", "filter", "source")):
+        self.steps = steps
+        self.kinds = set(kinds)
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return cut_lineage(edges(self.steps))
+
+    @cached_property
+    def links(self) -> DataFrame:
+        return self.edges.filter("known").select("flow", "parent", "child")
+
+    @cached_property
+    def reads(self) -> DataFrame:
+        return cut_lineage(view_reads(self.steps))
+
+    @cached_property
+    def indirect_reads(self) -> DataFrame:
+        direct = self.links.select("flow", F.col("child").alias("step"), F.col("parent").alias("owner"))
+        return self.reads.join(direct, ["flow", "step", "owner"], "left_anti")
+
+    @cached_property
+    def filtered(self) -> DataFrame:
+        return _facts(self.steps, NOT_NULL)
+
+    @cached_property
+    def named_sources(self) -> DataFrame:
+        return _facts(self.steps, TABLE_VARIABLE, fold_case=False)
+
+    @cached_property
+    def carried(self) -> DataFrame:
+        """Facts of all kinds, carried downstream together."""
+        facts = {
+            "view": lambda: self.indirect_reads.select("flow", F.col("owner").alias("name"), F.col("owner").alias("fact")),
+            "filter": lambda: self.filtered,
+            "source": lambda: self.named_sources,
+        }
+        parts = [facts[k]().withColumn("fact", F.concat(F.lit(k + ":"), "fact")) for k in sorted(self.kinds)]
+        return inherited(self.links, reduce(DataFrame.unionByName, parts))
+
+    def inherited(self, kind: str) -> DataFrame:
+        start = len(kind) + 2
+        mine = self.carried.filter(F.col("fact").startswith(kind + ":"))
+        return mine.select("flow", "name", F.substring("fact", start, 2147483647).alias("fact"))
+
+
+def duplicate_step(t: Shared) -> DataFrame:
+    twice = t.steps.groupBy("flow", "name").agg(F.count("*").alias("n")).filter("n > 1")
     return _finding(twice, "duplicate_step", F.col("n").cast("string"), "name")
 
 
-def unknown_parent(steps: DataFrame) -> DataFrame:
-    return _finding(edges(steps).filter(~F.col("known")), "unknown_parent", F.col("parent"), "child")
+def unknown_parent(t: Shared) -> DataFrame:
+    return _finding(t.edges.filter(~F.col("known")), "unknown_parent", F.col("parent"), "child")
 
 
-def cycle(steps: DataFrame) -> DataFrame:
+def cycle(t: Shared) -> DataFrame:
     """What cannot be placed even when parents that are no steps are left out."""
-    _, rest = placed_levels(steps, ignore_unknown=True)
+    _, rest = placed_levels(t.steps, ignore_unknown=True)
     return _finding(rest, "cycle", "on or behind a cycle", "name")
 
 
-def orphan_step(steps: DataFrame) -> DataFrame:
-    parents = steps.select("flow", F.explode("parents").alias("name")).distinct()
-    several = steps.groupBy("flow").agg(F.count("*").alias("n")).filter("n > 1").select("flow")
-    alone = steps.filter(F.size("parents") == 0).join(parents, ["flow", "name"], "left_anti").join(several, "flow", "left_semi")
+def orphan_step(t: Shared) -> DataFrame:
+    parents = t.edges.select("flow", F.col("parent").alias("name")).distinct()
+    several = t.steps.groupBy("flow").agg(F.count("*").alias("n")).filter("n > 1").select("flow")
+    alone = t.steps.filter(F.size("parents") == 0).select("flow", "name")
+    alone = alone.join(parents, ["flow", "name"], "left_anti").join(several, "flow", "left_semi")
     return _finding(alone, "orphan_step", "no parents and no children", "name")
 
 
-def order_not_after_parent(steps: DataFrame) -> DataFrame:
-    orders = steps.groupBy("flow", "name").agg(F.max_by("ord", "pos").alias("ord"))
+def order_not_after_parent(t: Shared) -> DataFrame:
+    orders = t.steps.groupBy("flow", "name").agg(F.max_by("ord", "pos").alias("ord"))
     parents = orders.select("flow", F.col("name").alias("parent"), F.col("ord").alias("parent_ord"))
     children = orders.select("flow", F.col("name").alias("child"), F.col("ord").alias("child_ord"))
-    late = (
-        edges(steps).filter("known").join(parents, ["flow", "parent"]).join(children, ["flow", "child"])
-        .filter("child_ord <= parent_ord")
-    )
+    late = t.links.join(parents, ["flow", "parent"]).join(children, ["flow", "child"]).filter("child_ord <= parent_ord")
     return _finding(late, "order_not_after_parent", F.col("parent"), "child")
 
 
-def early_target(steps: DataFrame) -> DataFrame:
-    feeds = steps.select("flow", F.explode("parents").alias("name")).distinct().withColumn("feeds", F.lit(True))
-    early = steps.filter("target_table <> ''").join(feeds, ["flow", "name"], "left").filter(
+def early_target(t: Shared) -> DataFrame:
+    feeds = t.edges.select("flow", F.col("parent").alias("name")).distinct().withColumn("feeds", F.lit(True))
+    stored = t.steps.filter("target_table <> ''").select("flow", "name", "target_table")
+    early = stored.join(feeds, ["flow", "name"], "left").filter(
         F.coalesce("feeds", F.lit(False)) | ~F.col("name").startswith("SAVE_")
     )
     return _finding(early, "early_target", F.col("target_table"), "name")
 
 
-def inactive_parent(steps: DataFrame) -> DataFrame:
-    state = steps.groupBy("flow", "name").agg(F.max_by("active", "pos").alias("active"))
+def inactive_parent(t: Shared) -> DataFrame:
+    state = t.steps.groupBy("flow", "name").agg(F.max_by("active", "pos").alias("active"))
     off = state.filter("NOT active").select("flow", F.col("name").alias("parent"))
     on = state.filter("active").select("flow", F.col("name").alias("child"))
-    pairs = edges(steps).filter("known").join(off, ["flow", "parent"], "left_semi").join(on, ["flow", "child"], "left_semi")
+    pairs = t.links.join(off, ["flow", "parent"], "left_semi").join(on, ["flow", "child"], "left_semi")
     return _finding(pairs, "inactive_parent", F.col("parent"), "child")
 
 
@@ -139,22 +191,27 @@ def views(steps: DataFrame) -> DataFrame:
     return steps.select("flow", F.lower("temp_view").alias("view"), F.col("name").alias("owner")).distinct()
 
 
+def sources(steps: DataFrame) -> DataFrame:
+    """(flow, step, target): tables and views named in FROM and JOIN clauses."""
+    listed = F.flatten(F.transform(_all(SOURCES), lambda s: F.split(s, r"\s*,\s*")))
+    names = F.array_distinct(F.transform(listed, lambda s: F.regexp_extract(s, r"^(\S+)", 1)))
+    return steps.select("flow", F.col("name").alias("step"), F.explode(names).alias("target"))
+
+
 def view_reads(steps: DataFrame) -> DataFrame:
-    """(flow, step, view, owner): views of the same flow that a step's SQL mentions."""
-    words = steps.select("flow", F.col("name").alias("step"), F.explode(F.array_distinct(F.transform(_all(WORD, 0), F.lower))).alias("view"))
-    return words.join(views(steps), ["flow", "view"]).filter("owner <> step").select("flow", "step", "view", "owner").distinct()
+    """(flow, step, view, owner): views of the same flow that a step's SQL reads."""
+    named = sources(steps).select("flow", "step", F.lower("target").alias("view")).distinct()
+    return named.join(views(steps), ["flow", "view"]).filter("owner <> step").select("flow", "step", "view", "owner")
 
 
-def hardcoded_table(steps: DataFrame) -> DataFrame:
-    named = steps.select("flow", F.col("name").alias("step"), F.explode(F.array_distinct(_all(SOURCE_NAME))).alias("target"))
-    fixed = named.withColumn("view", F.lower("target")).join(views(steps), ["flow", "view"], "left_anti")
-    return _finding(fixed, "hardcoded_table", F.col("target"))
+def hardcoded_table(t: Shared) -> DataFrame:
+    named = sources(t.steps).withColumn("view", F.lower("target"))
+    return _finding(named.join(views(t.steps), ["flow", "view"], "left_anti"), "hardcoded_table", F.col("target"))
 
 
-def unread_parent(steps: DataFrame) -> DataFrame:
-    read = view_reads(steps).select("flow", F.col("step").alias("child"), F.col("owner").alias("parent"))
-    unread = edges(steps).filter("known").join(read, ["flow", "child", "parent"], "left_anti")
-    return _finding(unread, "unread_parent", F.col("parent"), "child")
+def unread_parent(t: Shared) -> DataFrame:
+    read = t.reads.select("flow", F.col("step").alias("child"), F.col("owner").alias("parent"))
+    return _finding(t.links.join(read, ["flow", "child", "parent"], "left_anti"), "unread_parent", F.col("parent"), "child")
 
 
 def _facts(steps: DataFrame, pattern: str, fold_case: bool = True) -> DataFrame:
@@ -163,42 +220,25 @@ def _facts(steps: DataFrame, pattern: str, fold_case: bool = True) -> DataFrame:
     return steps.select("flow", "name", F.explode(F.array_distinct(found)).alias("fact"))
 
 
-def _asked(facts: DataFrame, asked: DataFrame) -> DataFrame:
-    """Facts that some step of the flow asks about; the rest need no carrying."""
-    return facts.join(asked.select("flow", "fact").distinct(), ["flow", "fact"], "left_semi").select("flow", "name", "fact")
-
+def view_not_upstream(t: Shared) -> DataFrame:
+    reached = t.inherited("view").select("flow", F.col("name").alias("step"), F.col("fact").alias("owner"))
+    return _finding(t.indirect_reads.join(reached, ["flow", "step", "owner"], "left_anti"), "view_not_upstream", F.col("view"))
 
-def _known_links(steps: DataFrame) -> DataFrame:
-    return edges(steps).filter("known").select("flow", "parent", "child")
 
+def repeated_null_filter(t: Shared) -> DataFrame:
+    again = t.filtered.join(t.inherited("filter"), ["flow", "name", "fact"], "left_semi")
+    return _finding(again, "repeated_null_filter", F.col("fact"), "name")
 
-def view_not_upstream(steps: DataFrame) -> DataFrame:
-    reads = view_reads(steps)
-    links = _known_links(steps)
-    direct = links.select("flow", F.col("child").alias("step"), F.col("parent").alias("owner"))
-    open_ = reads.join(direct, ["flow", "step", "owner"], "left_anti")
-    carried = inherited(links, open_.select("flow", F.col("owner").alias("name"), F.col("owner").alias("fact")))
-    reached = carried.select("flow", F.col("name").alias("step"), F.col("fact").alias("owner"))
-    return _finding(open_.join(reached, ["flow", "step", "owner"], "left_anti"), "view_not_upstream", F.col("view"))
 
+def repeated_source(t: Shared) -> DataFrame:
+    again = t.named_sources.join(t.inherited("source"), ["flow", "name", "fact"], "left_semi")
+    return _finding(again, "repeated_source", F.col("fact"), "name")
 
-def repeated_null_filter(steps: DataFrame) -> DataFrame:
-    own = _facts(steps, NOT_NULL)
-    carried = inherited(_known_links(steps), own)
-    return _finding(own.join(carried, ["flow", "name", "fact"], "left_semi"), "repeated_null_filter", F.col("fact"), "name")
 
-
-def repeated_source(steps: DataFrame) -> DataFrame:
-    own = _facts(steps, TABLE_VARIABLE, fold_case=False)
-    carried = inherited(_known_links(steps), own)
-    return _finding(own.join(carried, ["flow", "name", "fact"], "left_semi"), "repeated_source", F.col("fact"), "name")
-
-
-def unsafe_aggregate(steps: DataFrame) -> DataFrame:
-    summed, filtered = _facts(steps, BARE_SUM), _facts(steps, NOT_NULL)
-    carried = inherited(_known_links(steps), _asked(filtered, summed))
-    guarded = filtered.unionByName(carried)
-    return _finding(summed.join(guarded, ["flow", "name", "fact"], "left_anti"), "unsafe_aggregate", F.col("fact"), "name")
+def unsafe_aggregate(t: Shared) -> DataFrame:
+    guarded = t.filtered.unionByName(t.inherited("filter"))
+    bare = _facts(t.steps, BARE_SUM).join(guarded, ["flow", "name", "fact"], "left_anti")
+    return _finding(bare, "unsafe_aggregate", F.col("fact"), "name")
 
 
 GRAPH_RULES = {
@@ -209,10 +249,14 @@ GRAPH_RULES = {
     )
 }
 FLOW_RULES = ("flow_name_case", "single_step")
+CARRIED = {"view_not_upstream": "view", "repeated_null_filter": "filter", "unsafe_aggregate": "filter", "repeated_source": "source"}
 
 
 def lint(steps: DataFrame, rules: Iterable[str] | None = None) -> DataFrame:
-    """Findings of the chosen rules, of all without a choice."""
+    """Findings of the chosen rules, of all without a choice.
+
+    ``steps`` is read several times, so it should be a stored table.
+    """
     chosen = list(rules) if rules is not None else [*step_rules(), *FLOW_RULES, *GRAPH_RULES]
     parts = []
     row = [r for r in chosen if r in step_rules()]
@@ -221,21 +265,22 @@ def lint(steps: DataFrame, rules: Iterable[str] | None = None) -> DataFrame:
     flow = [r for r in chosen if r in FLOW_RULES]
     if flow:
         parts.append(check_flows(steps).filter(F.col("rule").isin(flow)))
-    parts += [GRAPH_RULES[r](steps) for r in chosen if r in GRAPH_RULES]
+    shared = Shared(steps, {CARRIED[r] for r in chosen if r in CARRIED})
+    parts += [GRAPH_RULES[r](shared) for r in chosen if r in GRAPH_RULES]
     return reduce(DataFrame.unionByName, parts)
 
 
 def step_sources(steps: DataFrame) -> DataFrame:
     """(flow, step, source, direct): table variables each step depends on, named in
     its own SQL or reached through its parents."""
-    own = _facts(steps, TABLE_VARIABLE, fold_case=False)
-    carried = inherited(_known_links(steps), own)
-    both = own.withColumn("direct", F.lit(True)).unionByName(carried.withColumn("direct", F.lit(False)))
+    t = Shared(steps, ["source"])
+    both = t.named_sources.withColumn("direct", F.lit(True)).unionByName(t.inherited("source").withColumn("direct", F.lit(False)))
     return both.groupBy("flow", F.col("name").alias("step"), F.col("fact").alias("source")).agg(F.bool_or("direct").alias("direct"))
 
 
 def target_lineage(steps: DataFrame) -> DataFrame:
     """(flow, target, step): every step that feeds a stored table, the writer included."""
     writers = steps.filter("target_table <> ''").select("flow", "name", F.concat_ws(".", "target_table", "name").alias("fact"))
-    up = _known_links(steps).select("flow", F.col("child").alias("parent"), F.col("parent").alias("child"))
+    up = edges(steps).filter("known").select("flow", F.col("child").alias("parent"), F.col("parent").alias("child"))
+    up = cut_lineage(up)
     return inherited(up, writers).unionByName(writers).distinct().select("flow", F.col("fact").alias("target"), F.col("name").alias("step"))

@@ -44,7 +44,7 @@ OUTPUT_DEFAULTS = {"table": "", "appendType": "REPLACE", "kafkaGroup": ""}
 # The same document with untyped leaves: a leaf keeps its JSON type, so lax
 # coercion ("1" for an integer) can be decided field by field.
 FLOW_LOOSE = (
-    "v STRUCT<name: VARIANT, description: VARIANT, steps: ARRAY<STRUCT<"
+    "STRUCT<name: VARIANT, description: VARIANT, steps: ARRAY<STRUCT<"
     "name: VARIANT, parents: VARIANT, `order`: VARIANT, sql: VARIANT, "
     "output: STRUCT<tempView: VARIANT, `table`: VARIANT, appendType: VARIANT, kafkaGroup: VARIANT>, "
     "description: VARIANT, diagram: STRUCT<x: VARIANT, y: VARIANT>, active: VARIANT, "
@@ -52,7 +52,7 @@ FLOW_LOOSE = (
 )
 
 EVALUATION_LOOSE = (
-    "v STRUCT<score: VARIANT, feedback: VARIANT, dimensions: MAP<STRING, DOUBLE>, "
+    "STRUCT<score: VARIANT, feedback: VARIANT, dimensions: MAP<STRING, DOUBLE>, "
     "critical_issues: ARRAY<STRING>>"
 )
 

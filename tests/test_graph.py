@@ -71,10 +71,16 @@ def test_facts_travel_to_all_descendants_and_survive_cycles(spark):
 
 def test_cycle_rule_leaves_unknown_parents_out(spark):
     steps = table(spark, [("a", ["nowhere"]), ("b", ["a"]), ("x", ["y"]), ("y", ["x"]), ("z", ["y"])])
-    assert sorted(r.step for r in L.cycle(steps).collect()) == ["x", "y", "z"]
+    assert sorted(r.step for r in L.lint(steps, ["cycle"]).collect()) == ["x", "y", "z"]
 
 
 def test_grandparent_view_is_upstream(spark):
     steps = table(spark, [("a", []), ("b", ["a"]), ("c", ["b"]), ("d", [])])
     steps = steps.withColumn("sql_text", F.when(F.col("name") == "c", "SELECT x FROM a JOIN d").otherwise(F.col("sql_text")))
-    assert [(r.step, r.detail) for r in L.view_not_upstream(steps).collect()] == [("c", "d")]
+    assert [(r.step, r.detail) for r in L.lint(steps, ["view_not_upstream"]).collect()] == [("c", "d")]
+
+
+def test_comma_list_of_sources(spark):
+    steps = table(spark, [("a", []), ("b", []), ("c", ["a", "b"])])
+    sql = F.when(F.col("name") == "c", "SELECT x FROM a x, b AS y WHERE f(x.p, y.q) > 1").otherwise("SELECT 1 AS x")
+    assert sorted(r.view for r in L.view_reads(steps.withColumn("sql_text", sql)).collect()) == ["a", "b"]
