@@ -75,16 +75,31 @@ def placed_levels(steps: DataFrame, ignore_unknown: bool = False) -> tuple[DataF
     return placed, rest
 
 
+def numbered(df: DataFrame, group: str, place: str, width: int = 10_000) -> DataFrame:
+    """Add ``n``: 1, 2, ... per group in the order of the whole number ``place``.
+
+    Groups are counted in stretches of ``width`` places. Only the counts of the
+    stretches meet in one task, so one huge group is numbered in parallel.
+    """
+    cut = df.withColumn("_stretch", F.floor(F.col(place) / width))
+    before = Window.partitionBy(group).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(group, "_stretch").agg(F.count("*").alias("_rows"))
+    starts = counts.select(group, "_stretch", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(group, "_stretch").orderBy(place))
+    return cut.withColumn("_inside", inside).join(starts, [group, "_stretch"]).withColumn(
+        "n", F.col("_start") + F.col("_inside")
+    ).drop("_stretch", "_start", "_inside")
+
+
 def step_levels(steps: DataFrame) -> DataFrame:
     """(flow, name, level, placed). Steps that cannot be placed are numbered after
     the flow's highest level, in document order."""
     placed, rest = placed_levels(steps)
     top = placed.groupBy("flow").agg(F.max("level").alias("top"))
-    place = F.row_number().over(Window.partitionBy("flow").orderBy("pos"))
-    numbered = rest.join(top, "flow", "left").select(
-        "flow", "name", "pos", (F.coalesce("top", F.lit(0)) + place).cast("bigint").alias("level"), F.lit(False).alias("placed")
+    last = numbered(rest, "flow", "pos").join(top, "flow", "left").select(
+        "flow", "name", "pos", (F.coalesce("top", F.lit(0)) + F.col("n")).cast("bigint").alias("level"), F.lit(False).alias("placed")
     )
-    return placed.withColumn("placed", F.lit(True)).unionByName(numbered)
+    return placed.withColumn("placed", F.lit(True)).unionByName(last)
 
 
 def order_diff(steps: DataFrame, levels: DataFrame) -> DataFrame:

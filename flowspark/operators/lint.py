@@ -19,8 +19,8 @@ from flowspark.session import cut_lineage
 STEP_PREFIXES = "^(LOAD|FILTER|TRANSFORM|JOIN|AGGREGATE|ENRICH|SAVE)_"
 # FROM and JOIN targets; after FROM also the further ones of a comma list
 SOURCES = (
-    r"(?i)\b(?:FROM|JOIN)\s+([A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?\w+)?"
-    r"(?:\s*,\s*[A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?\w+)?)*)"
+    r"(?i)\b(?:FROM|JOIN)\s+([A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?(?!JOIN\b)\w+)?"
+    r"(?:\s*,\s*[A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?(?!JOIN\b)\w+)?)*)"
 )
 NOT_NULL = r"(?i)(\w+)\s+IS\s+NOT\s+NULL"
 BARE_SUM = r"(?i)\bSUM\(\s*(\w+)\s*\)"
@@ -187,8 +187,8 @@ def inactive_parent(t: Shared) -> DataFrame:
 
 
 def views(steps: DataFrame) -> DataFrame:
-    """(flow, view in lower case, owner step)."""
-    return steps.select("flow", F.lower("temp_view").alias("view"), F.col("name").alias("owner")).distinct()
+    """(flow, view in lower case, owner step): the last step that makes the view."""
+    return steps.groupBy("flow", F.lower("temp_view").alias("view")).agg(F.max_by("name", "pos").alias("owner"))
 
 
 def sources(steps: DataFrame) -> DataFrame:

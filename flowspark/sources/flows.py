@@ -19,17 +19,19 @@ def read_flows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_flows(files).drop("response", "json")
 
 
-def write_flows(documents: DataFrame, folder: str, description: str | None = None) -> None:
-    """Documents as JSON below ``folder/safe_name=.../``, names made safe for paths.
+def write_flows(documents: DataFrame, folder: str, description: str | None = None, file_per_flow: bool = False) -> None:
+    """Documents as JSON with their names made safe for paths.
 
-    One shuffle by name keeps one file per flow; a very common name is spread by
-    the writer's own file size limit rather than held in memory.
+    By default one table of JSON lines with a ``safe_name`` column. With
+    ``file_per_flow`` each name has its folder, which suits a few flows, not a
+    corpus of millions.
     """
     fields = [F.col("document.name").alias("name"), F.col("document.description").alias("description"), F.col("document.steps").alias("steps")]
     if description:
         fields.append(F.col(description).alias("business_description"))
     out = documents.select(F.concat(safe_name("document.name"), F.lit("_flow")).alias("safe_name"), *fields)
-    out.write.mode("append").partitionBy("safe_name").option("maxRecordsPerFile", 100_000).json(folder)
+    writer = out.write.mode("append")
+    (writer.partitionBy("safe_name") if file_per_flow else writer).json(folder)
 
 
 def read_written(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,16 +58,23 @@ def read_descriptions(spark: SparkSession, path: str | list[str], limit: int | N
     return lines if limit is None else lines.orderBy("path", "line_no").limit(limit)
 
 
-def session_history(items: DataFrame, session: str = "started_at", order: str = "timestamp") -> DataFrame:
-    """One history document per session: counts and its flows in order."""
+def session_history(items: DataFrame, session: str = "started_at", order: str = "timestamp", limit: int = 10_000) -> DataFrame:
+    """One history document per session: counts and its flows in order.
+
+    A session of more than ``limit`` flows is stored in several documents, numbered
+    by ``part``, each with the counts of the whole session: no row grows without
+    bound and nothing is left out.
+    """
+    counts = items.groupBy(session).agg(
+        F.count("*").alias("flow_count"), F.count_if(F.col("status") == "success").alias("success_count")
+    )
+    long = counts.filter(F.col("flow_count") > limit).select(session, F.ceil(F.col("flow_count") / limit).alias("_parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("_parts")), F.lit(0)).cast("int")
     flow = F.struct(
         F.col(order).alias("timestamp"), "id", F.left("description", F.lit(80)).alias("description"), "provider", "status", "path"
     )
-    return items.groupBy(session).agg(
-        F.count("*").alias("flow_count"),
-        F.count_if(F.col("status") == "success").alias("success_count"),
-        F.sort_array(F.collect_list(flow)).alias("flows"),
-    )
+    listed = items.join(long, session, "left").groupBy(session, part.alias("part")).agg(F.sort_array(F.collect_list(flow)).alias("flows"))
+    return counts.join(listed, session).select(session, "part", "flow_count", "success_count", "flows")
 
 
 def write_sessions(sessions: DataFrame, folder: str) -> None:
@@ -73,4 +82,6 @@ def write_sessions(sessions: DataFrame, folder: str) -> None:
 
 
 def recent_sessions(sessions: DataFrame, limit: int = 5) -> DataFrame:
-    return sessions.orderBy(F.desc("started_at")).limit(limit)
+    """All documents of the latest ``limit`` sessions."""
+    latest = sessions.select("started_at").distinct().orderBy(F.desc("started_at")).limit(limit)
+    return sessions.join(latest, "started_at", "left_semi")

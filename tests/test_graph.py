@@ -84,3 +84,9 @@ def test_comma_list_of_sources(spark):
     steps = table(spark, [("a", []), ("b", []), ("c", ["a", "b"])])
     sql = F.when(F.col("name") == "c", "SELECT x FROM a x, b AS y WHERE f(x.p, y.q) > 1").otherwise("SELECT 1 AS x")
     assert sorted(r.view for r in L.view_reads(steps.withColumn("sql_text", sql)).collect()) == ["a", "b"]
+
+
+def test_numbering_in_stretches(spark):
+    df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.col("id") * 3).alias("p"))
+    rows = G.numbered(df, "g", "p", width=100).collect()
+    assert all(r.n == r.p // 6 + 1 for r in rows) and len(rows) == 5000

@@ -26,10 +26,12 @@ def test_flows_round_trip(spark, folder):
     put(folder, "b.json", "{")
     read = S.read_flows(spark, folder)
     assert {r.path.rsplit("/", 1)[1]: r.status for r in read.collect()} == {"a.json": "ok", "b.json": "no_json"}
-    S.write_flows(read.filter("status = 'ok'"), f"{folder}/out")
-    back = S.read_written(spark, f"{folder}/out").first()
-    assert back.safe_name == "My_flow_x_flow" and back.name == "My flow/x"
-    assert back.steps[0].createdDate["$date"] == "2026-05-15T01:44:25.911Z"
+    for file_per_flow in (False, True):
+        out = f"{folder}/out{file_per_flow}"
+        S.write_flows(read.filter("status = 'ok'"), out, file_per_flow=file_per_flow)
+        back = S.read_written(spark, out).first()
+        assert back.safe_name == "My_flow_x_flow" and back.name == "My flow/x"
+        assert back.steps[0].createdDate["$date"] == "2026-05-15T01:44:25.911Z"
 
 
 def test_descriptions(spark, folder):
@@ -107,3 +109,17 @@ def test_streams_over_several_batches_equal_batch(spark, sf, folder):
 
 def test_stream_flow_batches_may_repeat(spark, sf):
     assert ST.stream_flow(spark, sf).count() > 0
+
+
+def test_long_session_is_split_and_stays_whole(spark):
+    items = spark.range(1000).select(
+        F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("started_at"), F.col("id").cast("string").alias("id"),
+        F.repeat(F.lit("x"), F.lit(100)).alias("description"), F.lit("p").alias("provider"),
+        F.when(F.col("id") % 2 == 0, "success").otherwise("failed").alias("status"), F.lit(None).cast("string").alias("path"),
+        F.col("id").alias("timestamp"),
+    )
+    rows = S.session_history(items, limit=400).collect()
+    assert {(r.started_at, r.flow_count, r.success_count) for r in rows} == {("hot", 666, 333), ("cold", 334, 167)}
+    assert sum(len(r.flows) for r in rows) == 1000 and sorted(r.part for r in rows) == [0, 0, 1]
+    assert all(len(f.description) == 80 for r in rows for f in r.flows)
+    assert [f.timestamp for f in rows[0].flows] == sorted(f.timestamp for f in rows[0].flows)
