@@ -14,7 +14,11 @@ TABLES = (
 ).split()
 
 SPARK = {
-    "epoch_us": "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)",
+    # from the calendar fields, so that the session time zone plays no part
+    "epoch_us": (
+        "(datediff(CAST(ts AS DATE), DATE'1970-01-01') * 86400000000 + hour(ts) * 3600000000 "
+        "+ minute(ts) * 60000000L + CAST(extract(SECOND FROM ts) * 1000000 AS BIGINT))"
+    ),
     "list_open": "string_agg(",
     "list_order": ") WITHIN GROUP (ORDER BY ",
     "list_close": ")",

@@ -81,25 +81,26 @@ def strict_json(text: Column, schema: str) -> Column:
     return F.get(F.filter(F.array(parsed), lambda found: F.size(found) == 1), 0)[0]
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that comes out of a generator, so that filters on what is
+    derived from it cannot be pushed below it and work it out per reference."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_flows(responses: DataFrame, text: str = "response") -> DataFrame:
     """Add ``json``, ``status`` (ok, no_json, bad_json, invalid_flow), ``truncated``
-    and the typed ``document`` (NULL unless ok). Bad answers stay as rows.
-
-    The parsed value comes out of a generator, so that filters on what is derived
-    from it cannot be pushed below the parse and repeat it per reference.
-    """
+    and the typed ``document`` (NULL unless ok). Bad answers stay as rows."""
     status = (
         F.when(F.col("json").isNull(), "no_json")
         .when(F.col("v").isNull(), "bad_json")
-        .when(~F.coalesce(F.expr(_FLOW_VALID), F.lit(False)), "invalid_flow")
+        .when(F.col("document").isNull(), "invalid_flow")
         .otherwise("ok")
     )
+    found = _once(responses.withColumn("json", json_object(text)), "v", strict_json(F.col("json"), FLOW_LOOSE))
+    typed = _once(found, "document", F.expr(f"CASE WHEN {_FLOW_VALID} THEN {_FLOW_TYPED} END"))
     return (
-        responses.withColumn("json", json_object(text))
-        .select("*", F.explode(F.array(strict_json(F.col("json"), FLOW_LOOSE))).alias("v"))
-        .withColumn("status", status)
+        typed.withColumn("status", status)
         .withColumn("truncated", (F.col("status") == "no_json") & truncated(text))
-        .withColumn("document", F.when(F.col("status") == "ok", F.expr(_FLOW_TYPED)))
         .drop("v")
     )
 

@@ -208,7 +208,7 @@ def _cuts(frame: pd.DataFrame, columns: list[str]) -> list[tuple[int, int]]:
 
 
 def _blocked(df: DataFrame, key: str, time_us: str, block_seconds: int) -> DataFrame:
-    block = F.floor(F.col(time_us) / F.lit(block_seconds * 1_000_000)).cast("bigint")
+    block = F.expr(f"`{time_us}` div {block_seconds * 1_000_000}")
     return df.withColumn("key", F.col(key).cast("string")).withColumn("block", block)
 
 
