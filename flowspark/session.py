@@ -27,6 +27,9 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # test documents shrink fifty-fold when compressed; without this, AQE takes
+        # a whole corpus for one small partition and parses it on one core
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.showConsoleProgress", "false")
