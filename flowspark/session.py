@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,24 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
     )
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark application, so that
+    they can import it wherever the application was started from."""
+    context = spark.sparkContext
+    if getattr(context, "_flowspark_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="flowspark-"), "flowspark.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    context._flowspark_shipped = True
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a local one only where none is set."""
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
@@ -45,6 +65,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     folder = tempfile.mkdtemp(prefix="flowspark-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
