@@ -89,10 +89,10 @@ def first_eight(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return _eights(data)[start] & _KEEP[np.minimum(end - start, 8)]
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, long: int = LONG) -> np.ndarray:
     """Hashes of byte spans that are in order and don't overlap.
 
-    Spans up to ``LONG`` bytes are taken eight bytes at a time; longer ones, which
+    Spans up to ``long`` bytes are taken eight bytes at a time; longer ones, which
     are rare, by a polynomial over their bytes.
     """
     size = end - start
@@ -100,7 +100,7 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     if not len(start):
         return out
     eight = _eights(data)
-    short = size <= LONG
+    short = size <= long
     alive = np.flatnonzero(short & (size > 0))
     k = 0
     while len(alive):
@@ -111,8 +111,8 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
         k += 8
         alive = alive[left > 8]
     if not short.all():
-        long = np.flatnonzero(~short)
-        out[long] += _polynomial(data, start[long], end[long])
+        rest = np.flatnonzero(~short)
+        out[rest] += _polynomial(data, start[rest], end[rest])
     return mix(out)
 
 
