@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = [
-    "mixing", "importance", "sharding", "simple8b", "packing", "oddsketch", "linecrf", "hosts",
+    "mixing", "importance", "sharding", "simple8b", "packing", "oddsketch", "linecrf", "bloomlm", "hosts",
 ]
 
 

@@ -125,7 +125,7 @@ def _polynomial(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return np.add.reduceat(value, at[:-1])
 
 
-def pieces(texts: pa.Array, lower: bool = False) -> Iterator[Piece]:
+def pieces(texts: pa.Array, lower: bool = False, size: int = PIECE) -> Iterator[Piece]:
     """Texts (nulls count as empty) of an Arrow string column in pieces."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -137,7 +137,7 @@ def pieces(texts: pa.Array, lower: bool = False) -> Iterator[Piece]:
     everything = np.frombuffer(body, np.uint8) if body is not None and body.size else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        last = max(first + 1, int(np.searchsorted(at, at[first] + PIECE, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
         data = everything[at[first] : at[last]]
         yield _piece(first, LOWER[data] if lower else data, at[first : last + 1] - at[first])
         first = last
@@ -165,3 +165,51 @@ def ngrams(hashes: np.ndarray, word_at: np.ndarray, n: int) -> tuple[np.ndarray,
     text = np.repeat(np.arange(len(word_at) - 1), np.diff(word_at))
     inside = text[: len(out)] == text[n - 1 :]
     return out[inside], text[: len(out)][inside]
+
+
+def span_array(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Byte spans as an Arrow binary column."""
+    size = end - start
+    at = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=at[1:])
+    inside = np.arange(at[-1]) - np.repeat(at[:-1], size)
+    body = data[np.repeat(start, size) + inside]
+    return pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(body)])
+
+
+class Places:
+    """A hash table of numpy arrays from (key, check) to a number; key and check are 64 bits, key not 0."""
+
+    def __init__(self, slots: int):
+        self.slots = slots
+        self.key, self.check = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
+        self.at = np.zeros(slots, np.int32)
+        self.kept = 0
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The numbers, -1 for those not held."""
+        place = np.full(len(key), -1, np.int32)
+        left, step = np.arange(len(key)), 0
+        while len(left):
+            slot = ((key[left] + np.uint64(step)) & np.uint64(self.slots - 1)).astype(np.int64)
+            there = self.key[slot]
+            hit = (there == key[left]) & (self.check[slot] == check[left])
+            place[left[hit]] = self.at[slot[hit]]
+            left = left[~hit & (there != 0)]
+            step += 1
+        return place
+
+    def insert(self, key: np.ndarray, check: np.ndarray, place: np.ndarray) -> None:
+        """Hold distinct new ones, with distinct numbers."""
+        left, step = np.arange(len(key)), 0
+        self.kept += len(key)
+        while len(left):
+            slot = ((key[left] + np.uint64(step)) & np.uint64(self.slots - 1)).astype(np.int64)
+            free = np.flatnonzero(self.key[slot] == 0)
+            slot, taking = slot[free], left[free]
+            self.at[slot] = place[taking]  # the last of those that want a slot gets it
+            mine = self.at[slot] == place[taking]
+            won = taking[mine]
+            self.key[slot[mine]], self.check[slot[mine]] = key[won], check[won]
+            left = np.setdiff1d(left, won, assume_unique=True)
+            step += 1

@@ -20,7 +20,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from flowspark.llm.hashing import LOWER, Piece, first_eight, mix, pieces, span_hashes
+from flowspark.llm.hashing import LOWER, Piece, Places, first_eight, mix, pieces, span_hashes
 
 MAX_KEPT = 600_000
 SLOTS = 1 << 21
@@ -50,13 +50,11 @@ class ChunkEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.key = np.zeros(SLOTS, np.uint64)
-        self.check = np.zeros(SLOTS, np.uint64)
-        self.at = np.zeros(SLOTS, np.int32)
+        self.places = Places(SLOTS)
         self.ids = np.zeros(1 << 16, np.int32)
         self.start = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int64)
-        self.used = self.count = self.kept = 0
+        self.used = self.count = 0
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -84,33 +82,6 @@ class ChunkEncoder:
         self.used, self.count = self.used + len(flat), last
         return first
 
-    def _look_up(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
-        """Places of chunks, -1 for those not seen."""
-        place = np.full(len(key), -1, np.int32)
-        left, step = np.arange(len(key)), 0
-        while len(left):
-            slot = ((key[left] + np.uint64(step)) & np.uint64(SLOTS - 1)).astype(np.int64)
-            there = self.key[slot]
-            hit = (there == key[left]) & (self.check[slot] == check[left])
-            place[left[hit]] = self.at[slot[hit]]
-            left = left[~hit & (there != 0)]
-            step += 1
-        return place
-
-    def _insert(self, key: np.ndarray, check: np.ndarray, place: np.ndarray) -> None:
-        left, step = np.arange(len(key)), 0
-        self.kept += len(key)
-        while len(left):
-            slot = ((key[left] + np.uint64(step)) & np.uint64(SLOTS - 1)).astype(np.int64)
-            free = np.flatnonzero(self.key[slot] == 0)
-            slot, taking = slot[free], left[free]
-            self.at[slot] = place[taking]  # the last of those that want a slot gets it
-            mine = self.at[slot] == place[taking]
-            won = taking[mine]
-            self.key[slot[mine]], self.check[slot[mine]] = key[won], check[won]
-            left = np.setdiff1d(left, won, assume_unique=True)
-            step += 1
-
     def _runs(self, piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, whether the tokenizer must take it) of what the ids of a piece are made of."""
         data, start, end = piece.data, piece.word_start, piece.word_end
@@ -130,7 +101,7 @@ class ChunkEncoder:
 
     def _places(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """(places of the runs of a piece, number of runs before each text)."""
-        if self.kept > MAX_KEPT or self.count > 2 * MAX_KEPT:
+        if self.places.kept > MAX_KEPT or self.count > 2 * MAX_KEPT:
             self._forget()
         start, end, odd = self._runs(piece)
         lowered = LOWER[piece.data]
@@ -140,7 +111,7 @@ class ChunkEncoder:
             check[odd] = first_eight(piece.data, start[odd], end[odd])
         key = np.maximum(key, np.uint64(1))
         check += (end - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        place = self._look_up(key, check)
+        place = self.places.find(key, check)
         new = np.flatnonzero(place < 0)
         if len(new):
             _, first, back = np.unique(mix(key[new] ^ mix(check[new])), return_index=True, return_inverse=True)
@@ -153,7 +124,7 @@ class ChunkEncoder:
             places = self._add(found) + np.arange(len(first), dtype=np.int32)
             place[new] = places[back.ravel()]
             keep = end[first] - start[first] <= LONGEST_KEPT
-            self._insert(key[first][keep], check[first][keep], places[keep])
+            self.places.insert(key[first][keep], check[first][keep], places[keep])
         return place, np.searchsorted(start, piece.text_at)
 
     def encode_many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
