@@ -116,7 +116,7 @@ class Tree:
         self.leaf = pages["leaf"].to_numpy()
         dim = self.pivot.shape[1] - 1
         self.ids = [np.asarray(x, np.int64) for x in pages["ids"]]
-        self.vectors = [np.asarray(x, float).reshape(-1, dim) for x in pages["vectors"]]
+        self.vectors = [np.asarray(x, float).reshape(len(i), dim) for x, i in zip(pages["vectors"], self.ids)]
         self.distances = [np.asarray(x, float) for x in pages["distances"]]
         parent = pages["parent"].to_numpy()
         self.children = [np.flatnonzero(parent == k) for k in range(len(parent))]
@@ -263,12 +263,20 @@ def top_k(table: DataFrame, every: int = 50, k: int = 5, vector: str = "embeddin
     copies = pages.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, blocks) - 1))))
 
     def answer(pages: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        found: list[pd.DataFrame] = []
         tree = Tree(pages, bound) if len(asked) else None
-        for own, v, least in zip(asked["vec_id"], asked["v"], asked["least"]):
-            ids, products = tree.search(np.asarray(v, float), own, k, least)
-            found.append(pd.DataFrame({"query_id": own, "v": [v] * len(ids), "vec_id": ids, "score": products.astype(np.int64)}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "v": [], "vec_id": [], "score": []})
+        own: list[int] = []
+        vectors: list = []
+        ids, scores = [np.zeros(0, np.int64)], [np.zeros(0)]
+        for query_id, v, least in zip(asked["vec_id"], asked["v"], asked["least"]):
+            found, products = tree.search(np.asarray(v, float), query_id, k, least)
+            own += [query_id] * len(found)
+            vectors += [v] * len(found)
+            ids.append(found)
+            scores.append(products)
+        return pd.DataFrame({
+            "query_id": np.array(own, np.int64), "v": pd.Series(vectors, dtype=object), "vec_id": np.concatenate(ids),
+            "score": np.concatenate(scores).astype(np.int64),
+        })
 
     results = copies.groupBy("tree", "block").cogroup(asked.groupBy("tree", "block")).applyInPandas(
         answer, "query_id long, v array<int>, vec_id long, score long"
