@@ -38,7 +38,6 @@ FLOW = T.StructType(
 )
 
 # Field defaults of a flow document (fixed values of the document contract).
-STEP_DEFAULTS = {"description": "", "active": True}
 OUTPUT_DEFAULTS = {"table": "", "appendType": "REPLACE", "kafkaGroup": ""}
 
 # The same document with untyped leaves: a leaf keeps its JSON type, so lax

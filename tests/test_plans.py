@@ -4,7 +4,8 @@ import pytest
 
 from flowspark import catalog
 
-PYTHON = {"flow_statement", "throttle", "ttl_dedup"}
+# step functions, order within a key, and the DDL tokenizer
+PYTHON = {"flow_statement", "throttle", "ttl_dedup", "ddl_columns", "metadata_ddl"}
 ONE_ROW_JOINS = {"cross_small", "model_catalog", "model_catalog_no_rules"}
 WRITERS = {n for n in catalog.queries() if n.startswith("stream_")} | {
     "flow_replace_then_append", "write_audit", "recent_sessions",
