@@ -7,12 +7,12 @@ filters and columns through it down to the scans; jobs start only at sinks.
 
 from __future__ import annotations
 
+import heapq
 import re
 import uuid
 from collections.abc import Callable, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
-from graphlib import TopologicalSorter
 from typing import Any
 
 from pyspark.errors import AnalysisException, ParseException
@@ -47,7 +47,7 @@ class FlowRun:
 
 
 def active_steps(flow: Mapping[str, Any]) -> list[dict[str, Any]]:
-    """Enabled steps, parents before children, otherwise by (order, position)."""
+    """Enabled steps in ascending (order, position), but none before its parents."""
     steps = [s for s in flow["steps"] if s.get("active", True)]
     steps.sort(key=lambda s: s["order"])
     by_name = {s["name"]: s for s in steps}
@@ -56,10 +56,23 @@ def active_steps(flow: Mapping[str, Any]) -> list[dict[str, Any]]:
         missing = off.intersection(step.get("parents", []))
         if missing:
             raise FlowError(f"active step {step['name']} depends on inactive {sorted(missing)}")
-    order = TopologicalSorter(
-        {s["name"]: [p for p in s.get("parents", []) if p in by_name] for s in steps}
-    ).static_order()
-    return [by_name[name] for name in order]
+    waiting = {s["name"]: {p for p in s.get("parents", []) if p in by_name} for s in steps}
+    place = {s["name"]: (s["order"], k) for k, s in enumerate(steps)}
+    ready = [(place[name], name) for name, parents in waiting.items() if not parents]
+    heapq.heapify(ready)
+    out: list[dict[str, Any]] = []
+    while ready:
+        _, name = heapq.heappop(ready)
+        out.append(by_name[name])
+        del waiting[name]
+        for child, parents in waiting.items():
+            if name in parents:
+                parents.discard(name)
+                if not parents:
+                    heapq.heappush(ready, (place[child], child))
+    if waiting:
+        raise FlowError(f"steps depend on each other: {sorted(waiting)}")
+    return out
 
 
 def unbound(flow: Mapping[str, Any], tables: Mapping, params: Mapping) -> set[str]:
@@ -96,6 +109,15 @@ def _having_filters(spark: SparkSession):
             spark.conf.set(HAVING_CONF, before)
 
 
+def _temporary_view(spark: SparkSession, name: str) -> DataFrame | None:
+    """The session's temp view of this name, looked up by the name alone."""
+    try:
+        found = spark.catalog.getTable(name)
+    except AnalysisException:
+        return None
+    return spark.table(name) if found.isTemporary else None
+
+
 @contextmanager
 def _scoped_views(spark: SparkSession):
     """Temp views that exist only while the chain is built; shadowed ones return."""
@@ -104,8 +126,7 @@ def _scoped_views(spark: SparkSession):
     def register(name: str, df: DataFrame) -> None:
         key = name.lower()
         if key not in shadowed:
-            exists = any(t.isTemporary and t.name.lower() == key for t in spark.catalog.listTables())
-            shadowed[key] = spark.table(name) if exists else None
+            shadowed[key] = _temporary_view(spark, name)
         df.createOrReplaceTempView(name)
 
     try:

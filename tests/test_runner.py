@@ -34,14 +34,25 @@ def test_parents_come_first_whatever_the_order_numbers():
     assert [s["name"] for s in active_steps(flow)] == ["A", "B"]
 
 
+def test_order_decides_between_steps_without_parents():
+    steps = [step("LATE", [], 3, "SELECT 1 AS x"), step("CHILD", ["TOP"], 2, "SELECT x FROM TOP"), step("TOP", [], 1, "SELECT 1 AS x")]
+    assert [s["name"] for s in active_steps({"name": "F", "steps": steps})] == ["TOP", "CHILD", "LATE"]
+
+
+def test_a_cycle_is_an_error():
+    steps = [step("A", ["B"], 1, "SELECT 1 AS x"), step("B", ["A"], 2, "SELECT 1 AS x")]
+    with pytest.raises(FlowError, match="depend"):
+        active_steps({"name": "F", "steps": steps})
+
+
 def test_views_do_not_outlive_the_run(spark, sf):
-    spark.range(3).createOrReplaceTempView("LOAD_BUYERS")
+    spark.range(3).createOrReplaceTempView("SEEN_LATELY")
     df = flows.flow_inactive_customers(spark, sf)
     assert df.count() > 0
-    assert spark.table("LOAD_BUYERS").columns == ["id"]
+    assert spark.table("SEEN_LATELY").columns == ["id"]
     names = {t.name.lower() for t in spark.catalog.listTables()}
-    assert "filter_inactive_buyers" not in names and not any(n.startswith("bound_") for n in names)
-    spark.catalog.dropTempView("LOAD_BUYERS")
+    assert "dormant" not in names and not any(n.startswith("bound_") for n in names)
+    spark.catalog.dropTempView("SEEN_LATELY")
 
 
 def test_filter_and_columns_reach_the_scan_through_the_chain(spark, sf):
@@ -71,10 +82,10 @@ def test_replace_and_append(spark, sf, folder):
 
 
 def test_target_variable(spark, sf, folder):
-    tables = {"BUYERS": table(spark, sf, "customer"), "ORDERS": table(spark, sf, "orders")}
-    params = {"REFERENCE_DATE": flows.REFERENCE_DATE}
+    tables = {"PEOPLE": table(spark, sf, "customer"), "SALES": table(spark, sf, "orders")}
+    params = {"AS_OF": flows.REFERENCE_DATE}
     run = run_flow(spark, flows.INACTIVE, tables, params, targets={"TARGET": "idle"}, sink_folder=folder, write=True)
-    assert spark.read.parquet(f"{folder}/idle").count() == run["SAVE_INACTIVE_BUYERS"].count()
+    assert spark.read.parquet(f"{folder}/idle").count() == run["KEEP_DORMANT"].count()
     with pytest.raises(FlowError, match="TARGET"):
         run_flow(spark, flows.INACTIVE, tables, params, sink_folder=folder, write=True)
 
@@ -95,5 +106,5 @@ def test_dry_run_reports_without_a_job(spark):
 
 def test_having_setting_is_restored(spark, sf):
     before = spark.conf.get("spark.sql.legacy.parser.havingWithoutGroupByAsWhere")
-    assert flows.flow_statement(spark, sf).filter(F.col("stt") != "1").count() == 0
+    assert flows.flow_statement(spark, sf).filter(F.col("mark") != "1").count() == 0
     assert spark.conf.get("spark.sql.legacy.parser.havingWithoutGroupByAsWhere") == before
