@@ -103,8 +103,8 @@ def tune_prompts(spark: SparkSession, sf: str) -> DataFrame:
 
 def classify_errors(spark: SparkSession, sf: str) -> DataFrame:
     texts = [
-        "No API key found for provider", "HTTP 401 Unauthorized", "Failed to connect to host", "request TIMEOUT",
-        "Gateway connection refused", "disk full",
+        "the API key is blank", "refused with 401", "host does not connect", "TIMEOUT after 30 s",
+        "connection to the Gateway lost", "out of memory",
     ]
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
     error = F.element_at(F.array(*map(F.lit, texts)), k % len(texts) + 1)

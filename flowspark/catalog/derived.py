@@ -135,9 +135,9 @@ FROM (
       CASE WHEN doc_id % 13 = 0 THEN '' ELSE concat(', "spark_execution_efficiency": ', CAST(7 + (doc_id * 3 + n_chars) % 4 AS STRING)) END,
       ', "dependency_correctness": ', CAST(7 + n_chars % 4 AS STRING), '.5}}',
       CASE WHEN toxic = 1 THEN ', "critical_issues": ["column missing"]' WHEN doc_id % 2 = 0 THEN ', "critical_issues": []' ELSE '' END, '}}') AS body
-  FROM (SELECT d.doc_id, CAST(floor(d.doc_id / 5) AS BIGINT) AS flow, d.doc_id % 5 + 1 AS iteration, d.n_chars, l.toxic,
+  FROM (SELECT d.doc_id, CAST(floor(d.doc_id / 5) AS BIGINT) AS flow, d.doc_id % 5 + 1 AS iteration, d.n_chars, coalesce(l.toxic, 0) AS toxic,
                (d.doc_id * 7 + d.n_chars) % 31 + 70 AS s
-        FROM documents d JOIN labels l ON d.doc_id = l.doc_id) a
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) a
 ) b
 """
 

@@ -167,18 +167,11 @@ def _sessions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_id").cast("string").alias("id"), F.concat_ws(" ", "request_key", F.repeat("model", F.lit(8))).alias("description"),
         "provider", "status", F.lit(None).cast("string").alias("path"), F.col("t_us").alias("timestamp"),
     )
-    return S.session_history(calls)
-
-
-def _session_line(df: DataFrame) -> DataFrame:
-    return df.select(
-        "started_at", "flow_count", "success_count",
-        F.array_join(F.transform("flows", lambda f: F.concat_ws("/", f["id"], f["description"], f["status"])), ";").alias("flows"),
-    )
+    return S.session_history(calls).drop("path")
 
 
 def session_history(spark: SparkSession, sf: str) -> DataFrame:
-    return _session_line(_sessions(spark, sf))
+    return _sessions(spark, sf)
 
 
 def recent_sessions(spark: SparkSession, sf: str) -> DataFrame:
@@ -186,7 +179,7 @@ def recent_sessions(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "history")
     sessions = _sessions(spark, sf)
     S.write_sessions(sessions, folder)
-    return _session_line(S.recent_sessions(spark.read.schema(sessions.schema).json(folder)))
+    return S.recent_sessions(spark.read.schema(sessions.schema).json(folder)).select(*sessions.columns)
 
 
 QUERIES = {
@@ -236,9 +229,10 @@ _ITEMS = """items AS (SELECT doc_id, line_no, line AS description, (doc_id + lin
     SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(13)) AS line FROM (SELECT doc_id, i - 1 AS line_no, parts[i] AS line FROM (
       SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))))
     WHERE line <> '' AND line NOT LIKE '#%')"""
-_SESSION = f"""{LOG} SELECT concat('s', CAST(floor(t_us / 10000000) AS BIGINT)) AS started_at, count(*) AS flow_count, count(*) FILTER (status = 'success') AS success_count,
-    string_agg(concat_ws('/', event_id, substr(concat(request_key, ' ', repeat(model, 8)), 1, 80), status), ';' ORDER BY t_us, CAST(event_id AS VARCHAR)) AS flows
-    FROM request_log GROUP BY 1"""
+_SESSION = f"""{LOG}, s AS (SELECT *, concat('s', CAST(floor(t_us / 10000000) AS BIGINT)) AS started_at FROM request_log),
+    c AS (SELECT started_at, count(*) AS flow_count, count(*) FILTER (status = 'success') AS success_count FROM s GROUP BY 1)
+    SELECT started_at, flow_count, success_count, t_us AS timestamp, CAST(event_id AS VARCHAR) AS id, concat(request_key, ' ', repeat(model, 8)) AS description,
+    substr(concat(request_key, ' ', repeat(model, 8)), 1, 80) AS description_short, provider, status FROM s JOIN c USING (started_at)"""
 
 ORACLE = {
     "route_requests": rf"""WITH p AS (SELECT conv_id, {_MODEL} AS model, coalesce(min_by(text, turn) FILTER (role = 'user'), '') AS prompt FROM conversations GROUP BY conv_id)
@@ -278,9 +272,10 @@ ORACLE = {
     "purge_responses": f"""{LOG} SELECT CASE WHEN model = 'gpt-4o' THEN '(removed)' ELSE model END AS model, count(*) AS n FROM request_log WHERE status = 'success' GROUP BY 1""",
     "read_descriptions": f"""{with_tables('description_lines')} SELECT doc_id, CAST(line_no AS BIGINT) AS file_line, trim(line, ' ' || chr(9) || chr(13)) AS description
         FROM description_lines WHERE trim(line, ' ' || chr(9) || chr(13)) <> '' AND trim(line, ' ' || chr(9) || chr(13)) NOT LIKE '#%'""",
-    "batch_items": f"""WITH {_ITEMS} SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE WHEN length(description) > 50 THEN concat(substr(description, 1, 50), '...') ELSE description END AS description,
+    "batch_items": f"""WITH {_ITEMS} SELECT doc_id, CAST(line_no AS INT) AS line_no, description, CASE WHEN length(description) > 50 THEN concat(substr(description, 1, 50), '...') ELSE description END AS description_short,
+        CASE WHEN k = 0 THEN concat('provider error while generating flow ', doc_id) END AS error,
         CASE WHEN k IN (1, 2) THEN 'success' ELSE 'failed' END AS status, CASE WHEN k IN (1, 2) THEN 'success' WHEN k = 0 THEN 'failed: provider error while generatin' ELSE 'failed' END AS status_text FROM items""",
     "batch_summary": f"WITH {_ITEMS} SELECT doc_id % 50 AS batch, count(*) AS total, count(*) FILTER (k IN (1, 2)) AS successful FROM items GROUP BY 1",
     "session_history": _SESSION,
-    "recent_sessions": f"SELECT * FROM ({_SESSION}) ORDER BY started_at DESC LIMIT 5",
+    "recent_sessions": f"SELECT * FROM ({_SESSION}) QUALIFY dense_rank() OVER (ORDER BY started_at DESC) <= 5",
 }

@@ -144,11 +144,12 @@ def flow_variables(steps: DataFrame) -> DataFrame:
 
 
 def batch_items(descriptions: DataFrame, outcomes: DataFrame, key: list[str]) -> DataFrame:
-    """Outcome of each description; one without outcome counts as failed."""
+    """Outcome of each description; one without outcome counts as failed. The
+    texts stay whole, with their display forms beside them."""
     status = F.coalesce(F.col("status"), F.lit("failed"))
     shown = F.when((status == "failed") & (F.coalesce("error", F.lit("")) != ""), F.concat(F.lit("failed: "), F.left("error", F.lit(30)))).otherwise(status)
     return descriptions.join(outcomes, key, "left").select(
-        *key, shorten("description", 50).alias("description"), status.alias("status"), shown.alias("status_text")
+        *key, "description", shorten("description", 50).alias("description_short"), status.alias("status"), "error", shown.alias("status_text")
     )
 
 

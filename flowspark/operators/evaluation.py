@@ -11,7 +11,6 @@ from flowspark.schemas import EVALUATION_LOOSE
 
 # Gate values (fixed values).
 THRESHOLD = 8.5
-MAX_ITERATIONS = 5
 MINIMUMS = {"correctness": 8.0, "spark_execution_efficiency": 8.0, "dependency_correctness": 8.0}
 
 
@@ -49,12 +48,13 @@ def evaluation_gate(answers: DataFrame, text: str = "response", threshold: float
     )
 
 
-def best_iteration(gated: DataFrame, max_iterations: int = MAX_ITERATIONS) -> DataFrame:
+def best_iteration(gated: DataFrame, max_iterations: int | None = None) -> DataFrame:
     """Per flow the first passing iteration, else the best score (earliest on a
-    tie), else, with nothing scored, the last one. One aggregate, no sort."""
+    tie), else, with nothing scored, the last one. One aggregate, no sort.
+    ``max_iterations`` leaves later ones out; by default none are."""
     scored = F.col("status") == "ok"
     return (
-        gated.filter(F.col("iteration") <= max_iterations)
+        (gated if max_iterations is None else gated.filter(F.col("iteration") <= max_iterations))
         .groupBy("flow")
         .agg(
             F.min(F.when(F.col("passed"), F.struct("iteration", "score"))).alias("first_pass"),

@@ -112,7 +112,7 @@ def order_diff(steps: DataFrame, levels: DataFrame) -> DataFrame:
 
 def optimize_flows(documents: DataFrame, steps: DataFrame) -> DataFrame:
     """Documents with optimal step orders, steps sorted by (order, place); a flow
-    with nothing to change keeps its document as it is.
+    with nothing to change, or without steps, keeps its document as it is.
 
     The new orders travel back as one small map per flow; the documents
     themselves are shuffled once, by flow.
@@ -129,7 +129,8 @@ def optimize_flows(documents: DataFrame, steps: DataFrame) -> DataFrame:
         ),
     )
     new_steps = F.transform(F.array_sort(renumbered), lambda x: x["s"])
-    return documents.join(changes, "flow").withColumn(
+    joined = documents.join(changes, "flow", "left").withColumn("changed", F.coalesce("changed", F.lit(False)))
+    return joined.withColumn(
         "document", F.when(F.col("changed"), F.col("document").withField("steps", new_steps)).otherwise(F.col("document"))
     ).drop("orders")
 

@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Where a request names nothing (fixed values).
 DEFAULT_PROVIDER = "opencode"
 DEFAULT_MODEL = "gpt-4o"
 
@@ -24,7 +25,7 @@ RATES = {
     "deepseek-chat": (0.00027, 0.0011),
 }
 OTHER_RATE = (0.001, 0.002)
-DEFAULT_RPM = 60
+DEFAULT_RPM = 60  # fixed value
 
 
 def first_user_text(messages: DataFrame, key: str, turn: str, role: str = "role", text: str = "text") -> DataFrame:
@@ -149,12 +150,15 @@ def bearer_key(authorization: Column, x_api_key: Column) -> Column:
 def access_check(requests: DataFrame, grants: DataFrame | None, key: str = "api_key", provider: str | None = None) -> DataFrame:
     """Add ``http_status``: 200, 401 without a key, 403 for a key without grants.
 
-    ``grants`` has ``api_key`` and ``providers``; None means open access. With
+    ``grants`` has ``api_key`` and ``providers``; a key may have several rows, whose
+    providers add up. None means open access. With
     ``provider`` the provider must be among the granted ones as well.
     """
     if grants is None:
         return requests.withColumn("http_status", F.lit(200))
-    given = grants.filter(F.size("providers") > 0).select(F.col("api_key").alias("_granted"), F.col("providers").alias("_providers"))
+    given = grants.filter(F.size("providers") > 0).groupBy(F.col("api_key").alias("_granted")).agg(
+        F.array_distinct(F.flatten(F.collect_set("providers"))).alias("_providers")
+    )
     allowed = F.col("_granted").isNotNull()
     if provider:
         allowed = allowed & F.array_contains("_providers", F.col(provider))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,8 +10,6 @@ from flowspark.functions.text import safe_name, strip
 from flowspark.operators.corpus import parse_flows
 from flowspark.schemas import FLOW
 
-MAX_BATCH = 100
-
 
 def read_flows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file: path, ``status`` of its validation, typed ``document``."""
@@ -51,30 +49,45 @@ def description_lines(files: DataFrame, text: Column | str = "value", *keys: str
     )
 
 
-def read_descriptions(spark: SparkSession, path: str | list[str], limit: int | None = MAX_BATCH) -> DataFrame:
-    """Descriptions of one batch file, the first ``limit`` as the batch rule says."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), "value")
-    lines = description_lines(files, "value", "path")
-    return lines if limit is None else lines.orderBy("path", "line_no").limit(limit)
+def read_descriptions(spark: SparkSession, path: str | list[str], limit: int | None = None) -> DataFrame:
+    """path, line_no and description of the lines of batch files; with ``limit`` the first so many of each file.
+
+    Files are read as lines. Line numbers come from the counts of the splits of a
+    file, so a long file is read and numbered in parallel.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_split"), "value",
+        F.monotonically_increasing_id().alias("_id"),
+    )
+    inside = F.row_number().over(Window.partitionBy("path", "_split").orderBy("_id")) - 1
+    before = Window.partitionBy("path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lines.groupBy("path", "_split").agg(F.count("*").alias("_n")).select(
+        "path", "_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    found = (
+        lines.withColumn("_inside", inside).join(starts, ["path", "_split"])
+        .select("path", (F.col("_start") + F.col("_inside")).alias("line_no"), strip("value").alias("description"))
+        .filter((F.col("description") != "") & ~F.col("description").startswith("#"))
+    )
+    if limit is None:
+        return found
+    first = F.row_number().over(Window.partitionBy("path").orderBy("line_no"))
+    return found.withColumn("_nth", first).filter(F.col("_nth") <= limit).drop("_nth")
 
 
-def session_history(items: DataFrame, session: str = "started_at", order: str = "timestamp", limit: int = 10_000) -> DataFrame:
-    """One history document per session: counts and its flows in order.
+def session_history(items: DataFrame, session: str = "started_at", order: str = "timestamp") -> DataFrame:
+    """One row per flow with the counts of its session, whatever a session's size.
 
-    A session of more than ``limit`` flows is stored in several documents, numbered
-    by ``part``, each with the counts of the whole session: no row grows without
-    bound and nothing is left out.
+    Rows carry the time they are ordered by, the whole description, and the first 80
+    characters of it for display.
     """
     counts = items.groupBy(session).agg(
         F.count("*").alias("flow_count"), F.count_if(F.col("status") == "success").alias("success_count")
     )
-    long = counts.filter(F.col("flow_count") > limit).select(session, F.ceil(F.col("flow_count") / limit).alias("_parts"))
-    part = F.coalesce(F.pmod(F.xxhash64("id"), F.col("_parts")), F.lit(0)).cast("int")
-    flow = F.struct(
-        F.col(order).alias("timestamp"), "id", F.left("description", F.lit(80)).alias("description"), "provider", "status", "path"
+    return items.join(counts, session).select(
+        session, "flow_count", "success_count", F.col(order).alias("timestamp"), "id", "description",
+        F.left("description", F.lit(80)).alias("description_short"), "provider", "status", "path",
     )
-    listed = items.join(long, session, "left").groupBy(session, part.alias("part")).agg(F.sort_array(F.collect_list(flow)).alias("flows"))
-    return counts.join(listed, session).select(session, "part", "flow_count", "success_count", "flows")
 
 
 def write_sessions(sessions: DataFrame, folder: str) -> None:
@@ -82,6 +95,6 @@ def write_sessions(sessions: DataFrame, folder: str) -> None:
 
 
 def recent_sessions(sessions: DataFrame, limit: int = 5) -> DataFrame:
-    """All documents of the latest ``limit`` sessions."""
+    """All rows of the latest ``limit`` sessions."""
     latest = sessions.select("started_at").distinct().orderBy(F.desc("started_at")).limit(limit)
     return sessions.join(latest, "started_at", "left_semi")

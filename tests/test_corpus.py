@@ -76,12 +76,12 @@ def test_filter_on_status_does_not_repeat_the_parse(spark):
 @pytest.mark.parametrize(
     "provider, error, expected",
     [
-        ("openai", "No API key found for provider 'openai'", "api_key"),
-        ("openai", "Failed to connect to api.openai.com", "connection"),
-        ("opencode", "Gateway connection refused", "gateway"),
+        ("openai", "this API key is blank", "api_key"),
+        ("openai", "host does not connect", "connection"),
+        ("opencode", "connection to the Gateway lost", "gateway"),
         ("gateway", "timeout", "gateway"),
-        ("openai", "Unauthorized: connect", "authentication"),
-        ("openai", "disk full", None),
+        ("openai", "unauthorized, will not connect", "authentication"),
+        ("openai", "out of memory", None),
     ],
 )
 def test_error_class(spark, provider, error, expected):

@@ -39,8 +39,9 @@ def test_descriptions(spark, folder):
     rows = S.read_descriptions(spark, f"{folder}/d.txt").orderBy("line_no").collect()
     assert [r.description for r in rows] == ["first", "second", "third"]
     put(folder, "many.txt", "\n".join(f"line {i}" for i in range(150)))
-    assert S.read_descriptions(spark, f"{folder}/many.txt").count() == 100
-    assert S.read_descriptions(spark, f"{folder}/many.txt", None).count() == 150
+    assert S.read_descriptions(spark, f"{folder}/many.txt").count() == 150
+    first = S.read_descriptions(spark, [f"{folder}/many.txt", f"{folder}/d.txt"], 100).groupBy("path").count().collect()
+    assert sorted(r["count"] for r in first) == [len(rows), 100]
 
 
 def test_metadata_by_file_ending(spark, folder):
@@ -111,15 +112,14 @@ def test_stream_flow_batches_may_repeat(spark, sf):
     assert ST.stream_flow(spark, sf).count() > 0
 
 
-def test_long_session_is_split_and_stays_whole(spark):
+def test_long_session_stays_whole(spark):
     items = spark.range(1000).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise("cold").alias("started_at"), F.col("id").cast("string").alias("id"),
         F.repeat(F.lit("x"), F.lit(100)).alias("description"), F.lit("p").alias("provider"),
         F.when(F.col("id") % 2 == 0, "success").otherwise("failed").alias("status"), F.lit(None).cast("string").alias("path"),
         F.col("id").alias("timestamp"),
     )
-    rows = S.session_history(items, limit=400).collect()
+    rows = S.session_history(items).collect()
     assert {(r.started_at, r.flow_count, r.success_count) for r in rows} == {("hot", 666, 333), ("cold", 334, 167)}
-    assert sum(len(r.flows) for r in rows) == 1000 and sorted(r.part for r in rows) == [0, 0, 1]
-    assert all(len(f.description) == 80 for r in rows for f in r.flows)
-    assert [f.timestamp for f in rows[0].flows] == sorted(f.timestamp for f in rows[0].flows)
+    assert len(rows) == 1000 and all(len(r.description) == 100 and len(r.description_short) == 80 for r in rows)
+    assert {r.started_at for r in S.recent_sessions(S.session_history(items), 1).collect()} == {"hot"}
