@@ -46,7 +46,7 @@ RENAMED = """, renamed AS (SELECT * REPLACE (CASE WHEN flow % 9 = 1 THEN regexp_
 
 NOT_NULL = r"""SELECT DISTINCT flow, name, lower(unnest(regexp_extract_all(sql_text, '(?i)(\w+)\s+IS\s+NOT\s+NULL', 1))) AS fact FROM flow_steps"""
 SOURCES = r"""SELECT DISTINCT flow, name, unnest(regexp_extract_all(sql_text, '\$\{(\w+)\}', 1)) AS fact FROM flow_steps"""
-SUMMED = r"""SELECT DISTINCT flow, name, lower(unnest(regexp_extract_all(sql_text, '(?i)\bSUM\(\s*(\w+)\s*\)', 1))) AS fact FROM flow_steps"""
+SUMMED = r"""SELECT DISTINCT flow, name, lower(unnest(regexp_extract_all(sql_text, '(?i)\b(?:SUM|AVG)\(\s*(?:\w+\.)?(\w+)\s*\)', 1))) AS fact FROM flow_steps"""
 
 # Rule → (further tables, SELECT of flow, step, detail)
 BODIES = {

@@ -73,12 +73,14 @@ _FLOW_TYPED = f"""named_struct(
 def strict_json(text: Column, schema: str) -> Column:
     """Parse one JSON value and nothing else; NULL where there is more or less.
 
-    ``from_json`` alone takes trailing text and single quotes. As the only
-    element of an array, such text fails or gives a second element.
+    ``from_json`` alone takes trailing text and single quotes. As the only element
+    of an array such text fails or gives a second element, unless it closes the
+    bracket itself; as the only field of an object it then fails.
     """
-    wrapped = F.concat(F.lit("["), text, F.lit("]"))
-    parsed = F.from_json(wrapped, f"ARRAY<{schema}>", {"allowSingleQuotes": "false"})
-    return F.get(F.filter(F.array(parsed), lambda found: F.size(found) == 1), 0)[0]
+    strict = {"allowSingleQuotes": "false"}
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"ARRAY<{schema}>", strict)
+    field = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "STRUCT<v: STRING>", strict)["v"]
+    return F.get(F.filter(F.array(parsed), lambda found: (F.size(found) == 1) & field.isNotNull()), 0)[0]
 
 
 def _once(df: DataFrame, name: str, value: Column) -> DataFrame:

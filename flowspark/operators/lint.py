@@ -23,7 +23,12 @@ SOURCES = (
     r"(?:\s*,\s*[A-Za-z_][A-Za-z0-9_.]*(?:\s+(?:AS\s+)?(?!JOIN\b)\w+)?)*)"
 )
 NOT_NULL = r"(?i)(\w+)\s+IS\s+NOT\s+NULL"
-BARE_SUM = r"(?i)\bSUM\(\s*(\w+)\s*\)"
+# a plain column, with or without its table's alias, in SUM or AVG
+BARE_SUM = r"(?i)\b(?:SUM|AVG)\(\s*(?:\w+\.)?(\w+)\s*\)"
+CTE_NAME = r"(?i)(?:\bWITH\s+|,\s*)(\w+)\s+AS\s*\("
+EXTRACT_FROM = r"(?i)\bEXTRACT\s*\([^()]*\)"
+# brackets with up to four more levels inside
+BRACKETS = r"\((?:[^()]|\((?:[^()]|\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\))*\))*\)"
 TABLE_VARIABLE = r"\$\{(\w+)\}"
 SELECT_LIST = r"(?is)^\s*SELECT\s+(.*?)\s+FROM\b"
 
@@ -33,7 +38,7 @@ def _all(pattern: str, group: int = 1) -> Column:
 
 
 def _several_columns() -> Column:
-    listed = F.regexp_replace(F.regexp_extract("sql_text", SELECT_LIST, 1), r"\([^()]*\)", "")
+    listed = F.regexp_replace(F.regexp_extract("sql_text", SELECT_LIST, 1), BRACKETS, "")
     return listed.rlike(r"[^\s,][ \t]*,[ \t]*[^\s]")
 
 
@@ -192,9 +197,12 @@ def views(steps: DataFrame) -> DataFrame:
 
 
 def sources(steps: DataFrame) -> DataFrame:
-    """(flow, step, target): tables and views named in FROM and JOIN clauses."""
-    listed = F.flatten(F.transform(_all(SOURCES), lambda s: F.split(s, r"\s*,\s*")))
+    """(flow, step, target): tables and views named in FROM and JOIN clauses, but for the statement's own CTEs."""
+    text = F.regexp_replace("sql_text", EXTRACT_FROM, "")
+    listed = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(SOURCES), F.lit(1)), lambda s: F.split(s, r"\s*,\s*")))
+    own = F.transform(_all(CTE_NAME), F.lower)
     names = F.array_distinct(F.transform(listed, lambda s: F.regexp_extract(s, r"^(\S+)", 1)))
+    names = F.filter(names, lambda n: ~F.array_contains(own, F.lower(n)))
     return steps.select("flow", F.col("name").alias("step"), F.explode(names).alias("target"))
 
 

@@ -90,3 +90,21 @@ def test_numbering_in_stretches(spark):
     df = spark.range(5000).select((F.col("id") % 2).alias("g"), (F.col("id") * 3).alias("p"))
     rows = G.numbered(df, "g", "p", width=100).collect()
     assert all(r.n == r.p // 6 + 1 for r in rows) and len(rows) == 5000
+
+
+def _sql_steps(spark, *texts):
+    rows = [(k, 0, 0, "F", f"LOAD_{k}", [], f"LOAD_{k}", "", "REPLACE", "d", True, text) for k, text in enumerate(texts)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_text_rules_on_ctes_extract_aliases_and_nested_calls(spark):
+    steps = _sql_steps(
+        spark, "WITH c AS (SELECT a FROM ${T}), d AS (SELECT a FROM c) SELECT a FROM c JOIN d ON c.a = d.a",
+        "SELECT EXTRACT(YEAR FROM day) AS y FROM ${T}", "SELECT a FROM real_table",
+        "SELECT COALESCE(NULLIF(a, 0), 1) AS x\nFROM ${T}", "SELECT a, b\nFROM ${T}",
+        "SELECT SUM(t.amount) AS s, AVG(cost) AS c FROM ${T} t WHERE cost IS NOT NULL",
+    )
+    found = lambda rule: sorted((r.flow, r.detail) for r in L.lint(steps, [rule]).collect())
+    assert found("hardcoded_table") == [(2, "real_table")]
+    assert [f for f, _ in found("columns_on_one_line")] == [4, 5]
+    assert found("unsafe_aggregate") == [(5, "amount")]
