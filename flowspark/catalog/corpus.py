@@ -10,7 +10,8 @@ from flowspark.functions import text as X
 from flowspark.operators import corpus as C
 from flowspark.operators import graph as G
 from flowspark.operators import lint as L
-from flowspark.session import cut_lineage
+from flowspark.session import cut_lineage, scratch_path
+from flowspark.sources import flows as S
 
 
 def steps(spark: SparkSession, sf: str) -> DataFrame:
@@ -101,6 +102,19 @@ def tune_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("flow", C.retry_prompt(C.generation_prompt(F.col("flow").cast("string")), F.col("status")).alias("prompt"))
 
 
+def safe_names(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "part").select("p_partkey", X.safe_name(F.concat_ws("/", "p_name", "p_type")).alias("safe"))
+
+
+def stored_flows(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid documents written as JSON and read again."""
+    folder = scratch_path(spark, "flows")
+    S.write_flows(_parsed(spark, sf).filter("status = 'ok'"), folder)
+    return S.read_written(spark, folder).select(
+        "name", "safe_name", F.size("steps").cast("bigint").alias("n_steps"), F.get("steps", F.lit(0))["sql"].isNotNull().alias("has_sql")
+    )
+
+
 def classify_errors(spark: SparkSession, sf: str) -> DataFrame:
     texts = [
         "the API key is blank", "refused with 401", "host does not connect", "TIMEOUT after 30 s",
@@ -116,7 +130,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         extract_json, parse_flows, parse_status, flow_edges, step_levels, order_diff, optimize_flows, fan_out,
-        flow_step_listing, flow_variables, step_lineage, target_lineage, step_reads, build_eval_prompts, tune_prompts,
+        flow_step_listing, flow_variables, step_lineage, target_lineage, step_reads, safe_names, stored_flows, build_eval_prompts, tune_prompts,
         classify_errors,
     )
 }
@@ -210,3 +224,7 @@ ORACLE = {
           ELSE CASE WHEN k % 4 = 0 THEN 'gateway' ELSE 'connection' END END AS error_class
         FROM (SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events)""",
 }
+
+ORACLE["safe_names"] = "SELECT p_partkey, translate(concat(p_name, '/', p_type), ' /' || chr(92), '___') AS safe FROM part"
+ORACLE["stored_flows"] = f"""SELECT name, concat(translate(name, ' /' || chr(92), '___'), '_flow') AS safe_name, n_steps, n_steps > 0 AS has_sql
+    FROM ({ORACLE['parse_flows']}) WHERE status = 'ok'"""

@@ -46,13 +46,31 @@ def build_prompts(spark: SparkSession, sf: str) -> DataFrame:
     return docs.select("doc_id", C.generation_prompt(text, M.summary_text(F.col("tables"))).alias("prompt"))
 
 
+def metadata_by_ending(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents of both kinds under endings that name the right kind, the wrong one, or none."""
+    ddl, meta = derived(spark, sf, "ddl_docs").select("doc_id", "text"), derived(spark, sf, "meta_docs").select("doc_id", "text")
+    ending = lambda *e: F.element_at(F.array(*map(F.lit, e)), (F.col("doc_id") % len(e) + 1).cast("int"))
+    files = ddl.select("doc_id", "text", F.lit("ddl").alias("kind"), F.concat(F.lit("/m/a.b/t"), ending(".sql", ".DDL", ".json", ".txt")).alias("path"))
+    files = files.unionByName(
+        meta.select("doc_id", "text", F.lit("json").alias("kind"), F.concat(F.lit("/m/t"), ending(".json", ".sql", "")).alias("path"))
+    )
+    return M.column_rows(files, M.any_tables("text", F.col("path")), ["kind", "doc_id"])
+
+
+def build_prompts_ddl(spark: SparkSession, sf: str) -> DataFrame:
+    """The prompt with the whole CREATE TABLE texts in place of the summary."""
+    docs = derived(spark, sf, "ddl_docs").select("doc_id", M.ddl_tables("text").alias("tables")).filter("size(tables) > 0")
+    text = F.concat(F.lit("report on part "), F.col("doc_id").cast("string"))
+    return docs.select("doc_id", C.generation_prompt(text, M.ddl_text(F.col("tables"))).alias("prompt"))
+
+
 def check_table(spark: SparkSession, sf: str) -> DataFrame:
     orders = M.check_table(table(spark, sf, "orders"), ORDERS_META).withColumn("table_name", F.lit("orders"))
     lines = table(spark, sf, "lineitem").withColumn("l_discounted", F.nullif("l_discount", F.lit(0.05)))
     return orders.unionByName(M.check_table(lines, LINES_META).withColumn("table_name", F.lit("lineitem")))
 
 
-QUERIES = {f.__name__: f for f in (ddl_columns, json_columns, metadata_summary, metadata_ddl, build_prompts, check_table)}
+QUERIES = {f.__name__: f for f in (ddl_columns, json_columns, metadata_summary, metadata_ddl, metadata_by_ending, build_prompts, build_prompts_ddl, check_table)}
 
 _DDL = """WITH p AS (SELECT p_partkey AS doc_id, p_type, p_partkey % 6 AS k, concat('part_', p_partkey) AS base FROM part),
 c(k, suffix, pos, name, type, description, nullable, is_key, partition_column) AS (VALUES
@@ -98,3 +116,7 @@ ORACLE = {
         UNION ALL SELECT 'lineitem', 'l_discounted', 'not_null', count(*) FILTER (l_discount = CAST(0.05 AS DOUBLE)) FROM lineitem
         UNION ALL SELECT 'lineitem', 'l_orderkey,l_linenumber', 'unique_key', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
 }
+ORACLE["metadata_by_ending"] = f"""SELECT 'ddl' AS kind, * FROM ({ORACLE['ddl_columns']}) WHERE doc_id % 4 <> 2
+    UNION ALL BY NAME SELECT 'json' AS kind, * FROM ({ORACLE['json_columns']}) WHERE doc_id % 3 <> 1"""
+ORACLE["build_prompts_ddl"] = f"""SELECT doc_id, concat('Generate a Spark SQL ETL flow for the following business requirement:', chr(10), chr(10), 'report on part ', doc_id,
+    chr(10), chr(10), ddl, chr(10), chr(10), 'Respond with ONLY the JSON flow definition. No extra text.') AS prompt FROM ({ORACLE['metadata_ddl']})"""
