@@ -184,7 +184,7 @@ def improve(bins: Bins, tries: int = 64, patience: int = 200) -> Bins:
         stepped = False
         for item in reversed(list(bins.items[a])):
             b = bins.tightest(item[0], but=a)
-            if b is not None and bins.fill[b] >= bins.fill[a] - item[0]:
+            if b is not None and bins.fill[b] > bins.fill[a] - item[0]:
                 bins.take(a, item)
                 bins.put(b, item)
                 stepped = True
