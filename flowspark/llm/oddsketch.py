@@ -8,12 +8,12 @@ overlap itself. Candidates whose bitmaps say "far" by five standard deviations a
 dropped, all others are decided on their full shingle sets.
 
 No pairs within a group are written out. Documents of equal sets are one class from
-the start. In a bucket, every class first meets one pivot, and confirmed links join
-classes to components; buckets whose members are in one component are done. A second
-pivot, from another component, follows. What is then still apart is compared across
-components only, in blocks of bounded size, with the bitmap test inside the join.
-All of it is joins and sums over stored tables: a hot bucket is many rows of
-different blocks, and no links come to the driver.
+the start. Every class of a shared bucket joins one block of about ``BLOCK`` others of
+its largest bucket, and the full sets of a block meet in one task, which joins them to
+components; buckets whose members are in one component are done. What is then still
+apart is compared across components only, each pair of larger blocks in one task,
+where bitmaps leave few pairs to the full sets. A hot bucket is many blocks, only links
+that join components are written, and none come to the driver.
 """
 
 from __future__ import annotations
@@ -23,22 +23,26 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from flowspark.llm.bloom import Filter, build_filter
 from flowspark.llm.common import python_ready, without
 from flowspark.llm.hashing import join_hashes, mix, ngrams, pieces
 from flowspark.session import cut_lineage
 
 #: Two documents at a similarity of 0.8 share no band with probability (1 - 0.8^6)^40 = 5e-6.
 BANDS, ROWS = 40, 6
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
+#: Samples of the sketch; the bands are made of the first ones.
+SAMPLES = 480
+SKETCH_BITS = 1024
 SKETCH_WORDS = SKETCH_BITS // 64
 SIGMAS = 5.0
-BLOCK = 1024
+#: Classes of a block of a bucket, and of one in the comparison across components.
+BLOCK, WIDE_BLOCK = 64, 512
 OUTPUT = ["n_shingles", "component_id", "kept"]
 
 _rng = np.random.Generator(np.random.PCG64(2718281828))
@@ -143,20 +147,30 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(sign, schema)
 
 
-def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id and set (array<long>) of each row."""
-    python_ready(docs.sparkSession)
+def shingle_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """doc_id and set (array<long>) of the rows whose doc_id is in ``wanted``, and of few others.
+
+    A Bloom filter of the wanted ids, of bounded size, goes to the workers, so that texts
+    are not shuffled.
+    """
+    spark = docs.sparkSession
+    python_ready(spark)
     key = docs.schema["doc_id"].dataType
+    built = build_filter(cut_lineage(wanted.select(F.xxhash64("doc_id").alias("item"), F.lit(1).alias("q"))))
+    shared = spark.sparkContext.broadcast((built.bits, built.segments))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = Filter(*shared.value)
         for batch in batches:
+            batch = batch.filter(pa.array(chosen.levels(batch.column(2).to_numpy().view(np.uint64)) > 0))
             for first, grams, at in _sorted_sets(batch.column(1), width):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, len(at) - 1).cast(to_arrow_type(key)),
                     pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(grams.view(np.int64))),
                 ], names=["doc_id", "set"])
 
-    return docs.select("doc_id", "text").mapInArrow(gather, f"doc_id {key.simpleString()}, set array<long>")
+    hashed = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("item"))
+    return hashed.mapInArrow(gather, f"doc_id {key.simpleString()}, set array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -168,6 +182,8 @@ def components(links: DataFrame) -> DataFrame:
     both = cut_lineage(
         links.filter("a <> b").select("a", "b").union(links.filter("a <> b").select("b", "a")).distinct()
     )
+    if both.isEmpty():
+        return both.select(F.col("a").alias("node"), F.col("b").alias("component"))
     labels = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("component")))
     while True:
         around = (
@@ -187,37 +203,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _bits_apart(a: str, b: str) -> Column:
-    """Number of bits in which two sketches differ."""
-    return reduce(
-        lambda x, y: x + y,
-        [F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH_WORDS)],
+def block_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """(first, other) for every set that is linked, directly or through others, with the first one of its group."""
+    size = np.array([len(s) for s in sets])
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    seen = np.bincount(column, minlength=len(values))
+    keep = seen[column] > 1  # values of one set alone are in no intersection
+    row = np.repeat(np.arange(len(sets)), size)[keep]
+    number = np.cumsum(seen > 1) - 1
+    both = np.zeros((len(sets), len(sets)))
+    columns = number[column[keep]]
+    order = np.argsort(columns, kind="stable")
+    row, columns = row[order], columns[order]
+    step = 1 << 14
+    for first in range(0, int(number[-1]) + 1 if len(number) else 0, step):
+        a, b = np.searchsorted(columns, [first, first + step])
+        part = np.zeros((len(sets), step), np.float32)
+        part[row[a:b], columns[a:b] - first] = 1
+        both += part @ part.T
+    linked = both * 100 >= percent * (size[:, None] + size[None] - both)
+    found, left = [], np.ones(len(sets), bool)
+    for root in range(len(sets)):
+        if left[root]:
+            reached = np.zeros(len(sets), bool)
+            reached[root] = True
+            fresh = reached
+            while fresh.any():
+                fresh = linked[fresh].any(axis=0) & ~reached
+                reached |= fresh
+            left &= ~reached
+            found += [(root, int(x)) for x in np.flatnonzero(reached) if x != root]
+    return found
+
+
+def _first_links(inside: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) within blocks of the buckets, stored. Every class is in one block, and a is
+    the least of its group there, so a is the component of b at once."""
+    sizes = inside.groupBy("bucket").agg(F.count("*").alias("n"))
+    chosen = inside.join(sizes, "bucket").groupBy("rep").agg(F.max(F.struct("n", "bucket")).alias("x"))
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("x.n") / BLOCK)).cast("int")
+    placed = chosen.select(
+        F.col("rep").alias("doc_id"), F.col("x.bucket").alias("bucket"),
+        F.pmod(F.xxhash64("rep"), blocks).alias("block"),
     )
+    # blocks of one class hold no link
+    several = placed.groupBy("bucket", "block").agg(F.min("doc_id").alias("x"), F.max("doc_id").alias("y")).filter("x < y")
+    placed = placed.join(several.select("bucket", "block"), ["bucket", "block"], "left_semi")
+    key = inside.schema["rep"].dataType.simpleString()
 
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("doc_id")
+        ids = rows["doc_id"].tolist()
+        found = block_links([np.asarray(s, np.int64) for s in rows["set"]], percent)
+        return pd.DataFrame({"a": [ids[x] for x, _ in found], "b": [ids[y] for _, y in found]})
 
-def _near(percent: int, a: str = "a", b: str = "b") -> Column:
-    """What sizes and sketches of a pair at ``percent`` similarity must fulfil."""
-    na, nb = F.col(f"n_{a}"), F.col(f"n_{b}")
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (
-        _bits_apart(f"s_{a}", f"s_{b}") <= farthest(percent / 100)
-    )
-
-
-def _sketches(classes: DataFrame, name: str) -> DataFrame:
-    return classes.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
-
-
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets have 100 * intersection >= percent * union, stored."""
-    pairs = cut_lineage(pairs)
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = cut_lineage(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), width))
-    left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    every = F.size("set_a") + F.size("set_b") - both
     return cut_lineage(
-        pairs.join(left, "a").join(right, "b").filter(both * 100 >= every * percent).select("a", "b").distinct()
+        placed.join(sets, "doc_id").groupBy("bucket", "block").applyInPandas(links, f"a {key}, b {key}").distinct()
     )
 
 
@@ -248,23 +289,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     bucketed = classes.select("rep", F.explode("bands").alias("bucket"))
     shared = bucketed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
-    inside = cut_lineage(bucketed.join(shared.select("bucket", "low"), "bucket"))
+    inside = cut_lineage(bucketed.join(shared.select("bucket"), "bucket"))
+    sets = cut_lineage(shingle_sets(named, inside.select(F.col("rep").alias("doc_id")).distinct(), width))
 
-    first = inside.filter("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b")).distinct()
-    links = [same, _verified(first, classes, docs, width, percent)]
-    labels = components(reduce(DataFrame.unionByName, links))
-
-    left = _open_buckets(inside, labels)
-    far = left.groupBy("bucket").agg(F.min(F.struct("component", "rep")).alias("x"), F.max(F.struct("component", "rep")).alias("y"))
-    second = (
-        left.join(far, "bucket").filter("component <> y.component")
-        .select(F.least("rep", "y.rep").alias("a"), F.greatest("rep", "y.rep").alias("b")).distinct()
-    )
-    links.append(_verified(second, classes, docs, width, percent))
-    labels = components(reduce(DataFrame.unionByName, links))
-
-    links.append(confirmed(_across(_open_buckets(inside, labels), classes, percent), docs, width, percent))
-    labels = components(reduce(DataFrame.unionByName, links))
+    first = _first_links(inside, sets, percent)
+    near = first.select(F.col("b").alias("node"), F.col("a").alias("component"))
+    far = _across(_open_buckets(inside, near), classes, sets, percent)
+    labels = components(first.unionByName(far).unionByName(same))
 
     found = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")
@@ -276,14 +307,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return found.unionByName(unnamed)
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    near = (
-        pairs.join(_sketches(classes, "a"), "a").join(_sketches(classes, "b"), "b")
-        .filter(_near(percent)).select("a", "b").distinct()
-    )
-    return confirmed(near, docs, width, percent)
-
-
 def _open_buckets(inside: DataFrame, labels: DataFrame) -> DataFrame:
     """(bucket, rep, component) of the buckets whose members are in more than one component, stored."""
     labelled = inside.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -294,35 +317,62 @@ def _open_buckets(inside: DataFrame, labels: DataFrame) -> DataFrame:
     return cut_lineage(labelled.join(several.select("bucket"), "bucket", "left_semi"))
 
 
-def _across(left: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of open buckets, of different components, that sizes and sketches allow.
-
-    A bucket's members are dealt into blocks; each pair of blocks is a join key of its
-    own, with at most BLOCK or so members on either side.
+def far_links(rows: pd.DataFrame, first: int, second: int, percent: int) -> list[tuple]:
+    """Pairs of components that a link between a class of block ``first`` and one of block ``second`` joins."""
+    block, label = rows["block"].to_numpy(), rows["component"].astype("category").cat.codes.to_numpy().copy()
+    size = rows["n_shingles"].to_numpy()
+    sketch = np.stack([np.asarray(x, np.int64) for x in rows["sketch"]]).view(np.uint64)
+    sets = [np.asarray(x, np.int64) for x in rows["set"]]
+    names, limit, found = rows["component"].tolist(), farthest(percent / 100), []
+    other = np.flatnonzero(block == second)
+    for x in np.flatnonzero(block == first).tolist():
+        near = other[label[other] != label[x]]
+        if first == second:
+            near = near[near > x]
+        low, high = np.minimum(size[near], size[x]), np.maximum(size[near], size[x])
+        near = near[low * 100 >= high * percent]
+        near = near[np.bitwise_count(sketch[near] ^ sketch[x]).sum(axis=1) <= limit]
+        for y in near.tolist():
+            if label[y] != label[x]:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if both * 100 >= percent * (size[x] + size[y] - both):
+                    label[label == label[y]] = label[x]
+                    found.append((names[x], names[y]))
+    return found
+
+
+def _across(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between components, stored; ``open_`` holds (bucket, rep, component).
+
+    Classes that share buckets, directly or through others, are a family; outside it they
+    have no link. A family is dealt into blocks, and each pair of blocks meets in one task,
+    where sizes and bitmaps rule out nearly all pairs and full sets decide the rest.
     """
-    blocks = left.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = left.join(blocks, "bucket").join(
-        classes.select("rep", "n_shingles", "sketch"), "rep"
-    ).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    lows = open_.groupBy("bucket").agg(F.min("rep").alias("a"))
+    family = components(open_.join(lows, "bucket").select("a", F.col("rep").alias("b")).distinct())
+    member = open_.select("rep", "component").distinct().join(family.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep")
+    sizes = member.groupBy("family").agg(
+        F.ceil(F.count("*") / WIDE_BLOCK).cast("int").alias("blocks"), F.min("component").alias("x"), F.max("component").alias("y")
+    ).filter("x < y").select("family", "blocks")
+    placed = member.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    own = F.col("block")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, own).alias("i"), F.greatest(k, own).alias("j"))
+    )
+    units = placed.join(classes.select("rep", "n_shingles", "sketch"), "rep").join(sets.withColumnRenamed("doc_id", "rep"), "rep").select(
+        F.col("rep").alias("doc_id"), "component", "family", "block", "n_shingles", "sketch", "set", F.explode(pairs).alias("unit")
+    ).select("*", "unit.i", "unit.j").drop("unit")
+    key = open_.schema["rep"].dataType.simpleString()
 
-    def side(name: str, at: Column) -> DataFrame:
-        own = [F.col("rep").alias(name), F.col("component").alias(f"c_{name}"), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")]
-        return rows.select("bucket", at.alias("at"), *own)
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        found = far_links(rows, int(rows["i"].iloc[0]), int(rows["j"].iloc[0]), percent)
+        return pd.DataFrame({"a": [x for x, _ in found], "b": [y for _, y in found]}, dtype=None if found else object)
 
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    mine = F.col("block")
-    # blocks i <= j meet under the key (i, j)
-    a = side("a", F.explode(F.transform(F.filter(every, lambda j: j >= mine), lambda j: F.struct(mine.alias("i"), j.alias("j")))))
-    b = side("b", F.explode(F.transform(F.filter(every, lambda i: i <= mine), lambda i: F.struct(i.alias("i"), mine.alias("j")))))
-    inner = (F.col("at.i") < F.col("at.j")) | (F.col("a") < F.col("b"))
-    met = a.join(b, ["bucket", "at"]).filter((F.col("c_a") != F.col("c_b")) & inner & _near(percent))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return cut_lineage(units.groupBy("family", "i", "j").applyInPandas(links, f"a {key}, b {key}"))
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component, all columns as they are; rows without doc_id stay."""
-    from pyspark.sql import Window
-
     kept = near_duplicates(docs.select("doc_id", "text"), width, percent).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     once = Window.partitionBy("doc_id").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     rows = docs.join(kept, "doc_id", "left_semi").withColumn("__turn", F.row_number().over(once)).filter("__turn = 1")

@@ -70,8 +70,8 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     assert found(df, 2) == brute(rows, 2, 80)
 
 
-def test_across_alone_finds_what_rounds_leave(spark, monkeypatch):
-    monkeypatch.setattr(oddsketch, "ROUNDS", 0)
+def test_small_blocks_leave_the_rest_to_the_comparison_across(spark, monkeypatch):
+    monkeypatch.setattr(oddsketch, "BLOCK", 1)
     monkeypatch.setattr(oddsketch, "WIDE_BLOCK", 8)
     rows = list(enumerate(_edited(4, 60, 40, 6)))
     assert found(spark.createDataFrame(rows, "doc_id long, text string"), 2) == brute(rows, 2, 80)
