@@ -104,37 +104,37 @@ def mix(
     targets = source_targets(stats, weights, max_epochs)
     whole = F.when(F.col("source_size") > 0, F.least(F.lit(max_epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(0)
     plan = cut_lineage(
-        targets.withColumn("whole", whole.cast("long"))
-        .withColumn("need", F.when(F.col("whole") < max_epochs, F.col("target") - F.col("whole") * F.col("source_size")).otherwise(0.0))
-        .withColumn("slices", F.least(F.lit(MAX_SLICES), F.ceil(F.col("n") / SLICE_ROWS)))
-        .withColumnRenamed("source", "__name")
+        targets.withColumnRenamed("n", "__n").withColumn("__whole", whole.cast("long"))
+        .withColumn("__need", F.when(F.col("__whole") < max_epochs, F.col("target") - F.col("__whole") * F.col("source_size")).otherwise(0.0))
+        .withColumn("__slices", F.least(F.lit(MAX_SLICES), F.ceil(F.col("__n") / SLICE_ROWS)))
+        .withColumnRenamed("source", "__name").drop("__n")
     )
     key = F.col("__source").eqNullSafe(F.col("__name"))
-    piece = F.floor(unit_interval(F.col("__h")) * F.col("slices"))
+    piece = F.floor(unit_interval(F.col("__h")) * F.col("__slices"))
     sums = (
-        base.join(plan, key).groupBy("__name", piece.alias("slice")).agg(F.sum("__size").alias("words"), F.first("need").alias("need"))
+        base.join(plan, key).groupBy("__name", piece.alias("__slice")).agg(F.sum("__size").alias("__words"), F.first("__need").alias("__need"))
     )
-    running = Window.partitionBy("__name").orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = Window.partitionBy("__name").orderBy("__slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cuts = (
-        sums.withColumn("upto", F.sum("words").over(running)).filter(F.col("upto") > F.col("need"))
+        sums.withColumn("__upto", F.sum("__words").over(running)).filter(F.col("__upto") > F.col("__need"))
         .groupBy(F.col("__name").alias("__cut_name"))
-        .agg(F.min("slice").alias("cut"), F.min_by(F.col("need") - (F.col("upto") - F.col("words")), "slice").alias("room"))
+        .agg(F.min("__slice").alias("__cut"), F.min_by(F.col("__need") - (F.col("__upto") - F.col("__words")), "__slice").alias("__room"))
     )
     plan = cut_lineage(
-        plan.join(cuts, F.col("__name").eqNullSafe(F.col("__cut_name")), "left").drop("__cut_name", "n", "need")
+        plan.join(cuts, F.col("__name").eqNullSafe(F.col("__cut_name")), "left").drop("__cut_name", "__need")
     )
     dealt = base.join(plan, key).withColumn("__slice", piece)
-    settled = dealt.filter(F.col("cut").isNull() | (F.col("__slice") != F.col("cut"))).withColumn(
-        "__extra", F.col("__slice") < F.col("cut")
+    settled = dealt.filter(F.col("__cut").isNull() | (F.col("__slice") != F.col("__cut"))).withColumn(
+        "__extra", F.col("__slice") < F.col("__cut")
     )
-    edge = dealt.filter(F.col("__slice") == F.col("cut"))
+    edge = dealt.filter(F.col("__slice") == F.col("__cut"))
     order = Window.partitionBy("__name").orderBy("__h", *[c for c in identity if c in docs.columns], "__size")
     everyone = Window.partitionBy("__name")
     edge = edge.withColumn("__place", F.row_number().over(order)).withColumn(
         "__upto", F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    edge = edge.withColumn("__in", F.col("__upto") <= F.col("room")).withColumn(
-        "__left", F.col("room") - F.coalesce(F.max(F.when(F.col("__in"), F.col("__upto"))).over(everyone), F.lit(0))
+    edge = edge.withColumn("__in", F.col("__upto") <= F.col("__room")).withColumn(
+        "__left", F.col("__room") - F.coalesce(F.max(F.when(F.col("__in"), F.col("__upto"))).over(everyone), F.lit(0))
     )
     miss = F.when(~F.col("__in"), F.abs(F.col("__size") - F.col("__left")))
     best = F.min(F.when(miss.isNotNull(), F.struct(miss.alias("miss"), F.col("__place").alias("place")))).over(everyone)
@@ -143,7 +143,7 @@ def mix(
         F.col("__in") | ((F.col("__best.place") == F.col("__place")) & (F.col("__best.miss") < F.col("__left"))),
     )
     rows = settled.unionByName(edge.drop("__place", "__upto", "__in", "__left", "__best"))
-    copies = F.col("whole") + F.coalesce(F.col("__extra"), F.lit(False)).cast("long")
+    copies = F.col("__whole") + F.coalesce(F.col("__extra"), F.lit(False)).cast("long")
     return rows.select(
         *[F.col(f"`{c}`") for c in without(docs, OUTPUT).columns], "source_size", "target", copies.alias("copies"),
         (copies * F.col("__size")).alias("taken"),

@@ -136,19 +136,19 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 10, seed: int = 29, t
     slim = base.withColumns({
         "size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 16,
         "text_crc32": F.coalesce(F.crc32(F.col(text)), F.lit(0)).cast("long"),
-        "text_key": F.md5(text), "__h": F.xxhash64(F.lit(seed), doc_id, text),
+        "__key": F.md5(text), "__h": F.xxhash64(F.lit(seed), doc_id, text),
     })
     groups = cut_lineage(
-        slim.filter("text_key IS NOT NULL").groupBy("text_key").agg(F.count("*").alias("n")).filter("n > 1")
+        slim.filter("__key IS NOT NULL").groupBy(F.col("__key").alias("text_key")).agg(F.count("*").alias("n")).filter("n > 1")
     )
     rows = slim.count()
     state = propagate(groups, rows, shards, rounds, seed)
     # the shards of a group as ranges of its members' numbers; at most ``shards`` entries
     ranges = state.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("shard", "docs"))).alias("__parts"))
-    grouped = groups.join(ranges, "text_key")
-    joined = slim.join(grouped, "text_key", "left")
-    linked = joined.filter("n IS NOT NULL").withColumn("__slice", F.floor(unit_interval(F.col("__h")) * slices_of(F.col("n"))))
-    linked = numbered(linked, ["text_key"], ["__h", doc_id], "__k")
+    grouped = groups.join(ranges, "text_key").withColumnsRenamed({"text_key": "__key", "n": "__n"})
+    joined = slim.join(grouped, "__key", "left")
+    linked = joined.filter("__n IS NOT NULL").withColumn("__slice", F.floor(unit_interval(F.col("__h")) * slices_of(F.col("__n"))))
+    linked = numbered(linked, ["__key"], ["__h", doc_id], "__k")
     ends = F.transform(
         F.sequence(F.lit(1), F.size("__parts")),
         lambda i: F.aggregate(F.slice("__parts", 1, i), F.lit(0).cast("long"), lambda a, p: a + p["docs"]),
@@ -161,14 +161,14 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 10, seed: int = 29, t
     for s, q in enumerate(quotas(rows, shards)):
         total += q - held.get(s, 0)
         upto.append(total)
-    singles = joined.filter("n IS NULL").withColumn("__all", F.lit(0)).withColumn(
+    singles = joined.filter("__n IS NULL").withColumn("__all", F.lit(0)).withColumn(
         "__slice", F.floor(unit_interval(F.col("__h")) * slices_of(F.lit(rows)))
     )
     singles = numbered(singles, ["__all"], ["__h", doc_id], "__k").drop("__all")
     bounds = F.array(*[F.lit(int(x)) for x in upto])
     singles = singles.withColumn("shard", F.size(F.filter(bounds, lambda e: e <= F.col("__k"))).cast("int"))
 
-    placed = linked.unionByName(singles).drop("__parts", "__k", "n").withColumn(
+    placed = linked.unionByName(singles).drop("__parts", "__k", "__n").withColumn(
         "__slice", F.floor(unit_interval(F.col("__h")) * slices_of(F.lit(rows / shards)))
     )
     return numbered(placed, ["shard"], ["__h", doc_id], "slot").select(

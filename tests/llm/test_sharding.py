@@ -35,10 +35,10 @@ def test_groups_larger_than_a_shard_fill_whole_shards(spark):
     docs = spark.range(1000).selectExpr("id AS doc_id", "IF(id < 400, 'hot', IF(id < 700, 'p' || id % 100, 'u' || id)) AS text")
     rows = shard(docs, shards=10).collect()
     check(rows, 1000, 10)
-    hot = Counter(r["shard"] for r in rows if r["text"] == "hot")
-    # 400 copies need four shards of 100; label propagation may leave a few elsewhere
-    assert sum(n for _, n in hot.most_common(5)) >= 390
-    assert cut_links(rows) <= 1.1 * (400**2 - 4 * 100**2) / 2
+    # 400 copies fill four shards of 100 at best; at the start they lie 40 by 40 in all ten, and groups of three apart.
+    # Propagation must end nearer to the best than to the start.
+    best, start = (400**2 - 4 * 100**2) / 2, (400**2 - 10 * 40**2) / 2 + 100 * 3
+    assert cut_links(rows) <= (best + start) / 2
 
 
 def test_all_documents_linked(spark):
