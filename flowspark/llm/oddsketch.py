@@ -344,13 +344,15 @@ def far_links(rows: pd.DataFrame, first: int, second: int, percent: int) -> list
 def _across(open_: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links between components, stored; ``open_`` holds (bucket, rep, component).
 
-    Classes that share buckets, directly or through others, are a family; outside it they
-    have no link. A family is dealt into blocks, and each pair of blocks meets in one task,
+    Components that share buckets, directly or through others, are a family; outside it their
+    classes have no link. A family is dealt into blocks, and each pair of blocks meets in one task,
     where sizes and bitmaps rule out nearly all pairs and full sets decide the rest.
     """
-    lows = open_.groupBy("bucket").agg(F.min("rep").alias("a"))
-    family = components(open_.join(lows, "bucket").select("a", F.col("rep").alias("b")).distinct())
-    member = open_.select("rep", "component").distinct().join(family.select(F.col("node").alias("rep"), F.col("component").alias("family")), "rep")
+    lows = open_.groupBy("bucket").agg(F.min("component").alias("a"))
+    family = components(open_.join(lows, "bucket").select("a", F.col("component").alias("b")).distinct())
+    member = open_.select("rep", "component").distinct().join(
+        family.select(F.col("node").alias("component"), F.col("component").alias("family")), "component"
+    )
     sizes = member.groupBy("family").agg(
         F.ceil(F.count("*") / WIDE_BLOCK).cast("int").alias("blocks"), F.min("component").alias("x"), F.max("component").alias("y")
     ).filter("x < y").select("family", "blocks")
