@@ -32,7 +32,7 @@ from flowspark.llm.common import python_ready
 from flowspark.session import cut_lineage
 
 #: Sampled pivots, vectors of a tree, entries of a leaf, children of an inner node, queries of a block.
-PIVOTS, TREE_VECTORS, LEAF, FANOUT, BLOCK = 64, 4096, 48, 12, 50_000
+PIVOTS, TREE_VECTORS, LEAF, FANOUT, BLOCK = 16, 8192, 256, 12, 50_000
 #: Distances are compared with this margin; products of whole numbers differ by one at least.
 MARGIN = 1e-6
 _NODE = (

@@ -56,7 +56,8 @@ def test_clusters_and_copies(spark, monkeypatch, spread):
     assert search(spark, table, every=25) == brute(table, 25, 5)
 
 
-def test_bounds_save_distances():
+def test_bounds_save_distances(monkeypatch):
+    monkeypatch.setattr(mtree, "LEAF", 48)
     r = np.random.default_rng(1)
     centres = r.integers(-400, 400, (40, 16))
     v = (centres[r.integers(0, 40, 4000)] + r.integers(-9, 10, (4000, 16))).astype(np.int32)
