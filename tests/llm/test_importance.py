@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 from plain_words import words
 
 from flowspark.llm import importance
@@ -51,6 +52,25 @@ def test_toxic_documents_go(spark):
     assert share(0) > 0.93 and share(1) < 0.3
 
 
+@pytest.mark.parametrize("part", [0, 1, 2])
+def test_unseen_documents_part_by_weight(spark, part):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    seen = good(labels).filter(f"doc_id % 3 <> {part}")
+    rows = importance.resample(docs, seen, keep=["doc_id"]).join(labels.filter(f"doc_id % 3 = {part}"), "doc_id").toPandas()
+    clean, toxic, bad = (rows[x] for x in ((rows.quality == 1) & (rows.toxic == 0), (rows.quality == 1) & (rows.toxic == 1), rows.quality == 0))
+    print(part, *[(len(x), round(x.kept.mean(), 4)) for x in (clean, toxic, bad)], round((clean.log_weight == 0).mean(), 4))
+    assert clean.kept.mean() > 0.93 and toxic.kept.mean() < 0.17 and bad.kept.mean() < 0.06
+    # noise alone decides about hardly any
+    assert (clean.log_weight == 0).mean() < 0.1
+
+
+def test_runs_of_one_word_share_a_bucket():
+    piece = next(pieces(pa.array(["", "a a a a a a a b", "c c c c c c", "c c c c c", "c d"]), lower=True))
+    bucket, text = importance.buckets(piece)
+    assert text[bucket == importance.BUCKETS - 1].tolist() == [1, 1, 2]
+
+
 def test_number_kept_and_reruns(docs, labels):
     rows = importance.resample(docs, good(labels), share=0.5, keep=["doc_id"]).collect()
     keys = sorted((r["key"] for r in rows), reverse=True)
