@@ -8,6 +8,7 @@ built from the items that hash to it alone. With level 1 it is a plain Bloom fil
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,8 +20,8 @@ from flowspark.llm.hashing import mix
 
 PROBES, BITS_PER_ENTRY = 6, 12
 SEGMENT_BITS = 1 << 19
-#: 128 MB, the most that is collected and broadcast.
-MAX_SEGMENTS = 2048
+#: Most segments, or None for as many as the entries need; a bound raises the error rate, and counts with it.
+MAX_SEGMENTS: int | None = None
 
 
 class Filter:
@@ -55,11 +56,20 @@ class Filter:
         return out
 
 
+def segments_for(entries: int) -> int:
+    """The number of segments, a power of two; a warning gives the error rate where a bound is set and binds."""
+    wanted = 1 << (max(1, math.ceil(entries * BITS_PER_ENTRY / SEGMENT_BITS)) - 1).bit_length()
+    if MAX_SEGMENTS is None or wanted <= MAX_SEGMENTS:
+        return wanted
+    rate = (1 - math.exp(-PROBES * entries / (MAX_SEGMENTS * SEGMENT_BITS))) ** PROBES
+    warnings.warn(f"filter bounded to {MAX_SEGMENTS} of {wanted} segments: error rate {rate:.2%} per level", stacklevel=2)
+    return MAX_SEGMENTS
+
+
 def build_filter(items: DataFrame) -> Filter:
     """The filter over stored (item, q)."""
     entries, rows = items.agg(F.coalesce(F.sum("q"), F.lit(0)), F.count("*")).first()
-    wanted = max(1, math.ceil(entries * BITS_PER_ENTRY / SEGMENT_BITS))
-    segments = min(MAX_SEGMENTS, 1 << (wanted - 1).bit_length())
+    segments = segments_for(entries)
     shape = Filter(np.zeros(0, np.uint8), segments)
     parts = max(1, math.ceil(rows / segments / 200_000))
 

@@ -68,6 +68,14 @@ def test_filter_never_underestimates(spark, monkeypatch):
     assert small.segments == 2 and (small.levels(item.view(np.uint64)) >= q).all()
 
 
+def test_filter_grows_with_its_entries(monkeypatch):
+    for entries in (0, 1, 90_000_000, 400_000_000, 5_000_000_000):
+        assert bloom.segments_for(entries) * bloom.SEGMENT_BITS >= entries * bloom.BITS_PER_ENTRY
+    monkeypatch.setattr(bloom, "MAX_SEGMENTS", 2048)
+    with pytest.warns(UserWarning, match="error rate 50.7"):
+        assert bloom.segments_for(400_000_000) == 2048
+
+
 def test_levels():
     c = np.arange(1, 3000)
     q = bloomlm.level(c)
