@@ -54,32 +54,29 @@ def stream_throttle(requests: DataFrame, key: str, time_us: str, tie: str, rpm:
 def stream_ttl_dedup(
     requests: DataFrame, key: str, time_us: str, tie: str, fills: Column, ttl_seconds: int = 300, delay: str = "10 minutes"
 ) -> DataFrame:
-    """(tie, key, ``hit``) per request. State of a key ends when its answer is past
-    its time and the watermark (``delay`` behind) has passed that point."""
+    """(tie, key, ``hit``) per request, however late; one that comes late is judged by
+    what its key has seen so far.
+
+    A key keeps one number for good. Ending it by event time needs a watermark, and with
+    that Spark drops every request behind it; so ``delay`` has no effect and is only
+    accepted.
+    """
     ttl = ttl_seconds * 1_000_000
     calls = requests.select(
         F.col(key).alias("key"), F.col(time_us).alias("t_us"), F.col(tie).cast("bigint").alias("tie"),
-        F.coalesce(fills, F.lit(False)).alias("fills"), F.timestamp_micros(time_us).alias("time"),
-    ).withWatermark("time", delay)
+        F.coalesce(fills, F.lit(False)).alias("fills"),
+    )
 
     def verdicts(key_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         rows = _ordered(frames)
         made = int(state.get[0]) if state.exists else None
         hits, made = ttl_run(rows["t_us"].tolist(), rows["fills"].tolist(), ttl, made)
         if made is not None:
             state.update((made,))
-            ends = (made + ttl) // 1000 + 1
-            if ends > state.getCurrentWatermarkMs():
-                state.setTimeoutTimestamp(ends)
-            else:
-                state.remove()
         yield pd.DataFrame({tie: rows["tie"], key: key_[0], "hit": hits})
 
     return calls.groupBy("key").applyInPandasWithState(
-        verdicts, f"`{tie}` BIGINT, `{key}` STRING, hit BOOLEAN", "made BIGINT", "append", GroupStateTimeout.EventTimeTimeout
+        verdicts, f"`{tie}` BIGINT, `{key}` STRING, hit BOOLEAN", "made BIGINT", "append", GroupStateTimeout.NoTimeout
     )
 
 

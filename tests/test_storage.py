@@ -108,6 +108,19 @@ def test_streams_over_several_batches_equal_batch(spark, sf, folder):
     assert len(list(spark.read.parquet(f"{folder}/t").inputFiles())) >= 4
 
 
+def test_late_requests_get_verdicts(spark, folder):
+    """The last file is hours behind the watermark of the others."""
+    minute = 60_000_000
+    for i, rows in enumerate([[(1, "a", 600), (2, "b", 600)], [(3, "a", 900)], [(4, "a", 901), (5, "c", 10), (6, "b", 11)]]):
+        at = [(tie, key, m * minute, True) for tie, key, m in rows]
+        spark.createDataFrame(at, "tie long, key string, t_us long, ok boolean").coalesce(1).write.parquet(f"{folder}/in/part={i}")
+        time.sleep(0.05)
+    stream = spark.readStream.schema("tie long, key string, t_us long, ok boolean").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    out = L.stream_ttl_dedup(stream, "key", "t_us", "tie", F.col("ok"), 300, "10 minutes")
+    got = {r["tie"]: r["hit"] for r in L.run_available(out, "d", f"{folder}/d").collect()}
+    assert sorted(got) == [1, 2, 3, 4, 5, 6] and got[4] and not got[5]
+
+
 def test_stream_flow_batches_may_repeat(spark, sf):
     assert ST.stream_flow(spark, sf).count() > 0
 
