@@ -13,6 +13,7 @@ longer chain, nothing is cut.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -208,11 +209,20 @@ def fit(chains: Sequence[np.ndarray], labels: Sequence[int], rounds: int = 150,
     return Model(theta[: 2 * width].reshape(width, 2), theta[2 * width : 2 * width + 4].reshape(2, 2), theta[-2:])
 
 
+def run_of_lines(features: np.ndarray, lines: int) -> np.ndarray:
+    """At most ``lines`` lines on end, from a place that a hash of the document's features gives."""
+    spare = len(features) - lines
+    if spare <= 0:
+        return features
+    at = zlib.crc32(features.astype("<f4").tobytes()) % (spare + 1)
+    return features[at : at + lines]
+
+
 def train(docs: DataFrame, labels: DataFrame, per_kind: int = TRAIN_DOCS, lines: int = TRAIN_LINES) -> Model | None:
     """A model from ``labels`` (doc_id, good), or None where only one kind of document is labelled.
 
     The sample is the ``per_kind`` labelled documents of either kind with the least hash
-    and the first ``lines`` lines of each; nothing else of the corpus comes to the driver.
+    and ``lines`` lines on end of each, at a hashed place of longer ones; nothing else of the corpus comes to the driver.
     """
     from functools import reduce
 
@@ -225,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, per_kind: int = TRAIN_DOCS, lines:
 
     def work(piece: Piece) -> list:
         found = lines_of(piece)
-        rows = [found.features[a:b][:lines].astype("<f4").tobytes() for a, b in zip(found.text_at[:-1], found.text_at[1:])]
+        rows = [run_of_lines(found.features[a:b], lines).astype("<f4").tobytes() for a, b in zip(found.text_at[:-1], found.text_at[1:])]
         return [rows]
 
     rows = map_texts(chosen, ["doc_id", "good"], "features binary", work).filter("length(features) > 0").collect()

@@ -43,6 +43,18 @@ def test_odd_rows(odd_docs, no_docs, labels):
     assert linecrf.train(odd_docs, labels.selectExpr("doc_id", "true AS good")) is None
 
 
+def test_training_runs_lie_anywhere():
+    r = np.random.default_rng(0)
+    starts = []
+    for _ in range(300):
+        features = r.random((100, 3))
+        run = linecrf.run_of_lines(features, 40)
+        starts.append(int(np.flatnonzero((features == run[0]).all(axis=1))[0]))
+        assert (run == features[starts[-1] : starts[-1] + 40]).all()
+    assert min(starts) < 5 and max(starts) > 55
+    assert (linecrf.run_of_lines(features, 100) == features).all()
+
+
 def test_viterbi_is_the_best_path():
     r = np.random.default_rng(2)
     model = linecrf.Model(r.normal(size=(3, 2)), r.normal(size=(2, 2)), r.normal(size=2))
