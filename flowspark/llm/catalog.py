@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 MODULES = [
-    "mixing", "importance", "mtree", "sharding", "simple8b", "packing", "oddsketch", "linecrf", "bloomlm", "hosts",
+    "mixing", "importance", "mtree", "sharding", "simple8b", "packing", "oddsketch", "linecrf", "bloomlm", "hosts", "convrepair",
 ]
 
 
