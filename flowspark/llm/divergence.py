@@ -14,24 +14,23 @@ language, and one number for each pair of them, which the result has as rows any
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowspark.llm.common import python_ready
 from flowspark.session import cut_lineage
 
-#: Fixed value: a term is a run of these bytes of a text whose A-Z are lower-cased.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
-_OTHER = re.compile(rb"[^a-z\x80-\xff]")
+#: Fixed value: a term is a run of letters and of bytes from 128 on; A-Z are lower-cased, all other bytes part terms.
+_TO_TERMS = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 SLICE = 1 << 20
-#: Stripes and counts that a map task holds before it spills.
-CELLS = 400_000
+#: Counts and document frequencies that a map task holds before it spills, at some 150 bytes each.
+CELLS = 1_000_000
 BLOCK_TERMS = 2048
 BATCH = 8192
 SCALE = 1_000_000_000
@@ -44,49 +43,59 @@ FOUND = "lang string, source string, part string, item string, value long"
 _FOUND = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
 
-def term_counts(body: bytes) -> Counter:
-    """Terms of a text and how often each occurs; long texts go slice by slice between terms."""
-    body, counts, at = body.lower(), Counter(), 0  # bytes.lower() changes A-Z only
+def terms_of(body: bytes) -> Iterator[list[bytes]]:
+    """Terms of a text; those of long texts come slice by slice, cut between terms."""
+    body, at = body.translate(_TO_TERMS), 0
     while at < len(body):
-        border = _OTHER.search(body, at + SLICE) if at + SLICE < len(body) else None
-        stop = border.start() if border else len(body)
-        counts.update(TERM.findall(body, at, stop))
+        stop = body.find(b" ", at + SLICE)
+        stop = len(body) if stop < 0 else stop
+        yield body[at:stop].split()
         at = stop
-    return counts
 
 
 class Stripes:
-    """(language, term) -> [document frequency, {source: count}]."""
+    """Counts by (language, source) and document frequencies by language, which together are the stripes."""
 
     def __init__(self):
-        self.held: dict[tuple[str, bytes], list] = {}
+        self.counts: dict[tuple[str, str], Counter] = {}
+        self.df: dict[str, Counter] = {}
         self.cells = 0
 
     def add(self, lang: str, source: str, body: bytes) -> None:
-        for term, n in term_counts(body).items():
-            stripe = self.held.get((lang, term))
-            if stripe is None:
-                self.held[lang, term] = [1, {source: n}]
-                self.cells += 2
-            else:
-                stripe[0] += 1
-                counts = stripe[1]
-                if source in counts:
-                    counts[source] += n
-                else:
-                    counts[source] = n
-                    self.cells += 1
+        counts, df = self.counts.setdefault((lang, source), Counter()), self.df.setdefault(lang, Counter())
+        before, seen = len(counts) + len(df), set()
+        for terms in terms_of(body):
+            counts.update(terms)
+            seen.update(terms)
+        df.update(seen)
+        self.cells += len(counts) + len(df) - before
 
     def spill(self) -> Iterator[pa.RecordBatch]:
-        rows = [(lang, term.decode(), df, list(by), list(by.values())) for (lang, term), (df, by) in self.held.items()]
-        self.held, self.cells = {}, 0
-        yield from _batches(rows)
-
-
-def _batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-    for first in range(0, len(rows), BATCH):
-        columns = zip(*rows[first : first + BATCH])
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _STRIPES)], schema=_STRIPES)
+        for lang, df in self.df.items():
+            parts = [(source, by) for (of, source), by in self.counts.items() if of == lang and by]
+            if not parts:
+                continue
+            terms = pa.chunked_array([pa.array(by.keys(), pa.binary()) for _, by in parts]).combine_chunks().dictionary_encode()
+            count = np.concatenate([np.fromiter(by.values(), np.int64, len(by)) for _, by in parts])
+            source = np.repeat(np.arange(len(parts)), [len(by) for _, by in parts])
+            yield from _rows(
+                pa.array([lang] * len(terms.dictionary), pa.string()), terms.dictionary.cast(pa.string()),
+                np.array([df[t] for t in terms.dictionary.to_pylist()], np.int64), terms.indices.to_numpy(),
+                source, pa.array([name for name, _ in parts], pa.string()), count,
+            )
+        self.counts, self.df, self.cells = {}, {}, 0
+
+
+def _rows(
+    lang: pa.Array, term: pa.Array, df: np.ndarray, row: np.ndarray, source: np.ndarray, names: pa.Array, count: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """Stripes as batches; ``row``, ``source`` and ``count`` are their cells, no two alike in row and source."""
+    order = np.argsort(row, kind="stable")
+    at = np.zeros(len(term) + 1, np.int32)
+    np.cumsum(np.bincount(row, minlength=len(term)), out=at[1:])
+    sources = pa.ListArray.from_arrays(pa.array(at), names.take(pa.array(source[order])))
+    counts = pa.ListArray.from_arrays(pa.array(at), pa.array(count[order]))
+    yield from pa.Table.from_arrays([lang, term, pa.array(df), sources, counts], schema=_STRIPES).to_batches(BATCH)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,23 +109,40 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted stripes: neighbours of one key become one."""
-    key, df, by, done = None, 0, {}, []
+    """Sorted stripes: neighbours of one key become one. The last key of a batch waits for the next batch."""
+    waiting = None
     for batch in batches:
-        for lang, term, n, sources, counts in zip(*[c.to_pylist() for c in batch.columns]):
-            if (lang, term) != key:
-                if key:
-                    done.append((*key, df, list(by), list(by.values())))
-                key, df, by = (lang, term), 0, {}
-            df += n
-            for source, count in zip(sources, counts):
-                by[source] = by.get(source, 0) + count
-        if len(done) >= BATCH:
-            yield from _batches(done)
-            done = []
-    if key:
-        done.append((*key, df, list(by), list(by.values())))
-    yield from _batches(done)
+        table = pa.Table.from_batches([batch], _STRIPES)
+        if waiting is not None:
+            table = pa.concat_tables([waiting, table])
+        merged = _merged(table)
+        waiting = merged.slice(len(merged) - 1) if len(merged) else None
+        yield from merged.slice(0, max(len(merged) - 1, 0)).to_batches(BATCH)
+    if waiting is not None:
+        yield from waiting.to_batches()
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    if not len(table):
+        return table
+    lang, term = (table[c].combine_chunks() for c in ("lang", "term"))
+    new = np.ones(len(table), bool)
+    for column in (lang, term):
+        changed = pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        new[1:] = changed if column is lang else new[1:] | changed
+    key = np.cumsum(new) - 1
+    starts = np.flatnonzero(new)
+    sources, counts = table["sources"].combine_chunks(), table["counts"].combine_chunks()
+    row = np.repeat(key, pc.list_value_length(sources).to_numpy())
+    names = sources.flatten().dictionary_encode()
+    cell, place = np.unique(row * len(names.dictionary) + names.indices.to_numpy(), return_inverse=True)
+    count = np.zeros(len(cell), np.int64)
+    np.add.at(count, place, counts.flatten().to_numpy())
+    width = max(len(names.dictionary), 1)
+    return pa.Table.from_batches(_rows(
+        lang.take(pa.array(starts)), term.take(pa.array(starts)), np.add.reduceat(table["df"].to_numpy(), starts),
+        cell // width, cell % width, names.dictionary, count,
+    ), _STRIPES)
 
 
 def stripes_of(docs: DataFrame) -> DataFrame:

@@ -3,10 +3,11 @@ import string
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from compare import oracle, rows
 
 from flowspark.llm import divergence
-from flowspark.llm.divergence import audit, shares, term_counts
+from flowspark.llm.divergence import audit, shares, terms_of
 from flowspark.llm.queries import divergence as registered
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -88,12 +89,21 @@ def test_spilled_stripes_merge(monkeypatch):
     assert total == want
     assert sum(r["df"] for r in spilled if r["term"] == "common") == 500
 
+    spilled.sort(key=lambda r: (r["lang"], r["term"]))
+    for size in (1, 7, 10_000):  # keys that go on from batch to batch
+        batches = [pa.RecordBatch.from_pylist(spilled[k : k + size], divergence._STRIPES) for k in range(0, len(spilled), size)]
+        merged = [r for b in divergence._merge(batches) for r in b.to_pylist()]
+        assert len({r["term"] for r in merged}) == len(merged)
+        assert {(r["term"], s): n for r in merged for s, n in zip(r["sources"], r["counts"])} == want
+        assert [r["df"] for r in merged if r["term"] == "common"] == [500]
+
 
 def test_long_texts_are_cut_between_terms(monkeypatch):
     text = " ".join(f"W{chr(97 + k % 26) * (k % 9)}é{chr(0x4E00 + k % 50)}" for k in range(2000)).encode()
-    whole = term_counts(text)
+    (whole,) = terms_of(text)
     monkeypatch.setattr(divergence, "SLICE", 10)
-    assert term_counts(text) == whole and sum(whole.values()) == 2000
+    cut = list(terms_of(text))
+    assert len(cut) > 100 and [t for part in cut for t in part] == whole and len(whole) == 2000
 
 
 def test_shares_are_exact():
