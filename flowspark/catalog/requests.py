@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.catalog.derived import derived, table, with_tables
@@ -20,7 +20,6 @@ OVERRIDES = {"click": 30, "error": 120, "signup": 0}
 CHAINS = {"click": ["view", "error"], "error": ["view"]}
 PROVIDER_MODELS = {"view": "gpt-4o-mini"}
 TTL_SECONDS = 60
-BLOCK_SECONDS = 60
 
 
 def _with_model(df: DataFrame) -> DataFrame:
@@ -46,15 +45,28 @@ def request_key(spark: SparkSession, sf: str) -> DataFrame:
 
 def throttle(spark: SparkSession, sf: str) -> DataFrame:
     calls = log(spark, sf).select("event_id", "provider", "t_us")
-    limited = O.throttle(calls, "provider", "t_us", "event_id", R.rpm_limit("provider", OVERRIDES), BLOCK_SECONDS)
+    limited = O.throttle(calls, "provider", "t_us", "event_id", R.rpm_limit("provider", OVERRIDES))
     return limited.select("event_id", "provider", "allowed", F.round("retry_after", 6).alias("retry_after"))
 
 
 def ttl_dedup(spark: SparkSession, sf: str) -> DataFrame:
     calls = log(spark, sf).select("event_id", "request_key", "t_us", "status")
-    return O.ttl_dedup(
-        calls, "request_key", "t_us", "event_id", F.col("status") == "success", TTL_SECONDS, BLOCK_SECONDS
-    ).select("event_id", "request_key", "hit")
+    return O.ttl_dedup(calls, "request_key", "t_us", "event_id", F.col("status") == "success", TTL_SECONDS).select(
+        "event_id", "request_key", "hit"
+    )
+
+
+def _own_ttl() -> Column:
+    """A time to live for some requests; none and 0 mean the default."""
+    return F.element_at(F.array(*[F.lit(x).cast("int") for x in (None, 0, 30, 600)]), (F.col("event_id") % 4 + 1).cast("int"))
+
+
+def ttl_per_request(spark: SparkSession, sf: str) -> DataFrame:
+    calls = log(spark, sf).select("event_id", "request_key", "t_us", "status")
+    fills = F.col("status") == "success"
+    return O.ttl_dedup(calls, "request_key", "t_us", "event_id", fills, _own_ttl(), default_seconds=TTL_SECONDS).select(
+        "event_id", "request_key", "hit"
+    )
 
 
 def request_cost(spark: SparkSession, sf: str) -> DataFrame:
@@ -185,7 +197,7 @@ def recent_sessions(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        route_requests, request_key, throttle, ttl_dedup, request_cost, cost_by_model, usage_report, rpm_report,
+        route_requests, request_key, throttle, ttl_dedup, ttl_per_request, request_cost, cost_by_model, usage_report, rpm_report,
         resolve_fallback, fallback_attempts, access_check, access_check_strict, read_audit, write_audit, model_catalog,
         model_catalog_no_rules, purge_responses, read_descriptions, batch_items, batch_summary, session_history, recent_sessions,
     )
@@ -223,6 +235,16 @@ replay(request_key, rn, event_id, hit, made) AS (
   FROM replay r JOIN numbered n ON n.request_key = r.request_key AND n.rn = r.rn + 1)
 SELECT event_id, request_key, hit FROM replay"""
 
+OWN_TTL = f"""{LOG}, numbered AS (SELECT event_id, request_key, t_us, status, row_number() OVER (PARTITION BY request_key ORDER BY t_us, event_id) AS rn,
+    CASE event_id % 4 WHEN 2 THEN 30 WHEN 3 THEN 600 ELSE {TTL_SECONDS} END * 1000000 AS ttl FROM request_log),
+replay(request_key, rn, event_id, hit, expires) AS (
+  SELECT request_key, rn, event_id, false, CASE WHEN status = 'success' THEN t_us + ttl END FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.request_key, n.rn, n.event_id, coalesce(n.t_us <= r.expires, false),
+    CASE WHEN coalesce(n.t_us <= r.expires, false) OR n.status <> 'success' THEN r.expires ELSE n.t_us + n.ttl END
+  FROM replay r JOIN numbered n ON n.request_key = r.request_key AND n.rn = r.rn + 1)
+SELECT event_id, request_key, hit FROM replay"""
+
 _MODEL = "CASE conv_id % 4 WHEN 0 THEN 'openai' WHEN 1 THEN 'opencode' WHEN 2 THEN 'gpt-4o' ELSE 'claude-haiku-4' END"
 _GRANTED = "SELECT DISTINCT api_key FROM request_log WHERE api_key IS NOT NULL AND k % 20 < 10 AND k % 20 <> 7 AND k < 60"
 _ITEMS = """items AS (SELECT doc_id, line_no, line AS description, (doc_id + line_no) % 4 AS k FROM (
@@ -246,6 +268,7 @@ ORACLE = {
     + ")) AS request_key FROM d GROUP BY conv_id, model",
     "throttle": THROTTLE,
     "ttl_dedup": TTL,
+    "ttl_per_request": OWN_TTL,
     "request_cost": f"{COSTED} SELECT event_id, model, CAST(CAST(cost AS DECIMAL(28,9)) AS DOUBLE) AS cost FROM costed",
     "cost_by_model": f"{COSTED} SELECT model, {_USAGE} FROM costed GROUP BY model",
     "usage_report": f"{COSTED} SELECT provider, model, status, {_USAGE} FROM costed GROUP BY ALL",

@@ -1,7 +1,6 @@
 """Token bucket and expiry: block effects against running every request in order."""
 
 import math
-from types import SimpleNamespace
 
 import pytest
 from hypothesis import given, settings
@@ -36,7 +35,7 @@ def test_bucket_effect_equals_run(steps, cut, rpm, ahead):
     times, state = cumulated(steps), None
     rate, token, room = O.bucket_scale(rpm)
     for block in blocks(times, cut):
-        effect = SimpleNamespace(**{**O.NO_EFFECT, **O.bucket_effect(block, rpm)})
+        effect = O.bucket_effect(block, rpm)
         other = block[0] * rate + ahead * (room + token) // 200
         for start in (state, other):
             assert O.bucket_apply(effect, start) == O.bucket_run(block, rpm, start)[2]
@@ -50,10 +49,48 @@ def test_expiry_effect_equals_run(steps, cut, ttl, back, seed):
     for block in blocks(times, cut):
         fills = [(seed >> (i % 32)) & 1 == 1 for i in range(at, at + len(block))]
         at += len(block)
-        effect = SimpleNamespace(**O.ttl_effect(block, fills, ttl))
-        for start in (None, state, block[0] - back * ttl // 40):
-            assert O.ttl_apply(effect, start) == O.ttl_run(block, fills, ttl, start)[1]
-        state = O.ttl_run(block, fills, ttl, state)[1]
+        ttls = [ttl if (seed >> (i % 7)) & 1 else 3 * ttl // 2 for i in range(at, at + len(block))]
+        effect = O.ttl_effect(block, fills, ttls)
+        for start in (None, state, block[0] + ttl - back * ttl // 40):
+            assert O.ttl_apply(effect, start) == O.ttl_run(block, fills, ttls, start)[1]
+        state = O.ttl_run(block, fills, ttls, state)[1]
+
+
+def in_both_orders(effects, compose):
+    """The composition from the left, and that of the halves."""
+    if len(effects) == 1:
+        return effects[0], effects[0]
+    left = effects[0]
+    for e in effects[1:]:
+        left = compose(left, e)
+    half = len(effects) // 2
+    return left, compose(in_both_orders(effects[:half], compose)[1], in_both_orders(effects[half:], compose)[1])
+
+
+@settings(max_examples=400, deadline=None)
+@given(gaps, cuts, st.sampled_from([1, 2, 3, 7, 30, 60, 61, 120]), st.integers(0, 200))
+def test_composed_bucket_effects_equal_run(steps, cut, rpm, ahead):
+    times = cumulated(steps)
+    rate, token, room = O.bucket_scale(rpm)
+    some = times[0] * rate + ahead * (room + token) // 200
+    for effect in in_both_orders([O.bucket_effect(b, rpm) for b in blocks(times, cut)], O.bucket_compose):
+        for start in (None, some):
+            assert O.bucket_apply(effect, start) == O.bucket_run(times, rpm, start)[2]
+
+
+@settings(max_examples=400, deadline=None)
+@given(gaps, cuts, st.sampled_from([1, SECOND, 3 * SECOND, 60 * SECOND]), st.integers(0, 100), st.integers(0, 2**32))
+def test_composed_expiry_effects_equal_run(steps, cut, ttl, back, seed):
+    times = cumulated(steps)
+    fills = [(seed >> (i % 32)) & 1 == 1 for i in range(len(times))]
+    ttls = [ttl if (seed >> (i % 7)) & 1 else 3 * ttl // 2 for i in range(len(times))]
+    at = [0]
+    for b in blocks(times, cut):
+        at.append(at[-1] + len(b))
+    parts = [O.ttl_effect(times[a:b], fills[a:b], ttls[a:b]) for a, b in zip(at, at[1:])]
+    for effect in in_both_orders(parts, O.ttl_compose):
+        for start in (None, times[0] + ttl - back * ttl // 40):
+            assert O.ttl_apply(effect, start) == O.ttl_run(times, fills, ttls, start)[1]
 
 
 def test_bucket_matches_token_arithmetic():
@@ -75,22 +112,25 @@ def test_limit_one_allows_one_then_waits():
 
 
 def test_age_counts_from_the_making_and_ends_after_the_limit():
-    hits, _ = O.ttl_run([0, 5, 10, 11, 12], [True] * 5, 10, None)
+    hits, _ = O.ttl_run([0, 5, 10, 11, 12], [True] * 5, [10] * 5, None)
     assert hits == [False, True, True, False, True]
 
 
-@pytest.mark.parametrize("block_seconds", [5, 60, 10_000])
-def test_hot_key_is_cut_into_blocks_and_stays_exact(spark, block_seconds):
-    """Two thirds of all requests on one key, far more than it may make."""
-    n = 6000
+@pytest.mark.parametrize(("part_rows", "fan_bits"), [(7, 2), (100, 10), (10_000, 10)])
+def test_hot_key_is_cut_into_parts_and_stays_exact(spark, monkeypatch, part_rows, fan_bits):
+    """Nine tenths of all requests on one key, parts far shorter than an answer holds, a tree of several levels."""
+    monkeypatch.setattr(O, "FAN_BITS", fan_bits)
+    monkeypatch.setattr(O, "FAN", 1 << fan_bits)
+    n = 3000
     t = (F.col("id") * 100_000 + F.pmod(F.hash("id"), F.lit(90_000))).cast("bigint")
-    key = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 7).cast("string")))
-    df = spark.range(n).select("id", t.alias("t"), key.alias("key_name")).repartition(4)
-    got = O.throttle(df, "key_name", "t", "id", F.when(F.col("key_name") == "k0", 0).otherwise(60), block_seconds).collect()
-    hits = O.ttl_dedup(df, "key_name", "t", "id", F.col("id") % 5 > 0, 30, block_seconds).collect()
-    assert len(got) == n and len(hits) == n
+    key = F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 30 > 0, F.concat(F.lit("k"), (F.col("id") % 7).cast("string")))
+    df = spark.range(n).select("id", t.alias("t"), key.alias("key_name"), F.array("id").alias("more")).repartition(4)
+    got = O.throttle(df, "key_name", "t", "id", F.when(F.col("key_name") == "k0", 0).otherwise(60), part_rows).collect()
+    own = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, 45)
+    hits = O.ttl_dedup(df, "key_name", "t", "id", F.col("id") % 5 > 0, own, part_rows, default_seconds=30).collect()
+    assert len(got) == n and len(hits) == n and all(r.more == [r.id] for r in hits)
     by_key = {}
-    for r in df.orderBy("key_name", "t", "id").collect():
+    for r in df.orderBy("t", "id").collect():
         by_key.setdefault(r.key_name, []).append(r)
     allowed = {r.id: (r.allowed, r.retry_after) for r in got}
     hit = {r.id: r.hit for r in hits}
@@ -102,4 +142,11 @@ def test_hot_key_is_cut_into_blocks_and_stays_exact(spark, block_seconds):
             ok, waits, _ = O.bucket_run(times, 60, None)
             assert [allowed[r.id][0] for r in rows] == ok
             assert all(math.isclose(allowed[r.id][1], w / SECOND) for r, w in zip(rows, waits))
-        assert [hit[r.id] for r in rows] == O.ttl_run(times, [r.id % 5 > 0 for r in rows], 30 * SECOND, None)[0]
+        ttls = [(45 if r.id % 3 == 1 else 30) * SECOND for r in rows]
+        assert [hit[r.id] for r in rows] == O.ttl_run(times, [r.id % 5 > 0 for r in rows], ttls, None)[0]
+
+
+def test_no_requests(spark):
+    none = spark.createDataFrame([], "id long, t long, k string")
+    assert O.throttle(none, "k", "t", "id", F.lit(5)).count() == 0
+    assert O.ttl_dedup(none, "k", "t", "id", F.lit(True)).count() == 0
