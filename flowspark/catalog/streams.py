@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowspark.catalog import derived as D
@@ -14,13 +14,11 @@ from flowspark.session import scratch_path
 from flowspark.sources import audit as A
 from flowspark.streaming import log as S
 
-DELAY = "2 minutes"
-
 
 def streamed(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The table as a file stream; the pattern takes one file or a folder of files."""
     schema = D.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet*")
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", str(1 << 30)).parquet(f"{sf}/{name}.parquet*")
 
 
 def stream_log(spark: SparkSession, events: DataFrame, derived: str = "request_log") -> DataFrame:
@@ -36,13 +34,27 @@ def stream_throttle(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_ttl_dedup(spark: SparkSession, sf: str) -> DataFrame:
     calls = stream_log(spark, streamed(spark, sf, "events"))
-    out = S.stream_ttl_dedup(calls, "request_key", "t_us", "event_id", F.col("status") == "success", B.TTL_SECONDS, DELAY)
+    out = S.stream_ttl_dedup(calls, "request_key", "t_us", "event_id", F.col("status") == "success", B.TTL_SECONDS)
     return S.run_available(out, "ttl")
 
 
+def _per_minute(spark: SparkSession, calls: DataFrame, label: str, by: list[str], sums: dict[str, Column]) -> DataFrame:
+    folder = scratch_path(spark, label)
+    S.write_per_minute(calls, folder, label, "t_us", by, sums).awaitTermination()
+    return S.read_per_minute(spark, folder, "t_us", by, sums)
+
+
 def stream_rpm(spark: SparkSession, sf: str) -> DataFrame:
-    calls = stream_log(spark, streamed(spark, sf, "events")).withColumn("time", F.timestamp_micros("t_us"))
-    return S.run_available(S.stream_per_minute(calls, "time", DELAY, "provider"), "rpm")
+    """Requests per minute, late ones from the output of their own."""
+    return _per_minute(spark, stream_log(spark, streamed(spark, sf, "events")), "rpm", ["provider"], {})
+
+
+def stream_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Calls, tokens and exact cost per minute, provider, model and status."""
+    calls = stream_log(spark, streamed(spark, sf, "events")).withColumn("cost", R.exact(R.cost("model", "prompt_tokens", "completion_tokens")))
+    sums = {c: F.col(c) for c in ("prompt_tokens", "completion_tokens", "cost")}
+    found = _per_minute(spark, calls, "usage", ["provider", "model", "status"], sums)
+    return found.withColumnRenamed("requests", "calls").withColumn("cost", F.col("cost").cast("double"))
 
 
 def stream_route(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,13 +95,15 @@ def stream_flow(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (stream_throttle, stream_ttl_dedup, stream_rpm, stream_route, stream_access, stream_audit, stream_flow)
+    for f in (stream_throttle, stream_ttl_dedup, stream_rpm, stream_usage, stream_route, stream_access, stream_audit, stream_flow)
 }
 
 ORACLE = {
     "stream_throttle": B.ORACLE["throttle"],
     "stream_ttl_dedup": B.ORACLE["ttl_dedup"],
-    "stream_rpm": f"""SELECT * FROM ({B.ORACLE["rpm_report"]}) WHERE minute_us + 60000000 <= (SELECT max(CAST(floor(epoch_us(ts) / 3600) AS BIGINT)) - 120000000 FROM events)""",
+    "stream_rpm": B.ORACLE["rpm_report"],
+    "stream_usage": f"""{B.COSTED} SELECT CAST(floor(t_us / 60000000) AS BIGINT) * 60000000 AS minute_us, provider, model, status, {B._USAGE}
+        FROM costed GROUP BY ALL""",
     "stream_route": rf"""WITH p AS (SELECT conv_id, turn, {B._MODEL} AS model, text AS prompt FROM conversations WHERE role = 'user')
         SELECT conv_id, turn, CASE WHEN model IN ('openai', 'opencode') THEN model WHEN regexp_matches(prompt, '(?i)eau|ç') THEN 'openai'
             WHEN regexp_matches(prompt, '(?i)\bthe\b') THEN 'opencode' ELSE 'openai' END AS provider,

@@ -5,85 +5,103 @@ stream as they are (``flowspark.operators.requests``). Here are the ones that
 keep state. Verdicts follow event time, so a batch run over the same requests
 gives the same answers as long as micro-batches arrive in time order; within a
 micro-batch requests are put in order. How many requests of one key meet in a
-micro-batch is bounded by the source's own limit (files or offsets per trigger).
+micro-batch is bounded by the source's own limit (files, bytes or offsets per trigger).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from flowspark.operators.ordered import bucket_run, bucket_scale, ttl_run
-from flowspark.operators.requests import per_minute
-from flowspark.session import scratch_path
+from flowspark.operators.ordered import ttl_us
+from flowspark.session import scratch_path, ship_package
+from flowspark.streaming.stateful import Answers, TokenBucket
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DAY_SECONDS = 86_400
 
-def _ordered(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(frames)).sort_values(["t_us", "tie"], kind="stable")
 
-
-def stream_throttle(requests: DataFrame, key: str, time_us: str, tie: str, rpm: Column) -> DataFrame:
-    """(tie, key, ``allowed``, ``retry_after``) per request: token bucket per key."""
-    calls = requests.select(
-        F.col(key).alias("key"), F.col(time_us).alias("t_us"), F.col(tie).cast("bigint").alias("tie"), rpm.cast("bigint").alias("rpm")
+def _call_columns(requests: DataFrame, key: str, time_us: str, tie: str, **more: Column) -> DataFrame:
+    ship_package(requests.sparkSession)
+    return requests.select(
+        F.col(key).cast("string").alias("key"), F.col(time_us).alias("t_us"), F.col(tie).cast("bigint").alias("tie"),
+        *[c.alias(name) for name, c in more.items()],
     )
 
-    def verdicts(key_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _ordered(frames)
-        limit = int(rows["rpm"].iloc[0])
-        if limit <= 0:
-            allowed, waits = [False] * len(rows), [None] * len(rows)
-        else:
-            full_at = int(state.get[0]) if state.exists else None
-            allowed, units, full_at = bucket_run(rows["t_us"].tolist(), limit, full_at)
-            state.update((str(full_at),))
-            second = bucket_scale(limit)[0] * 1_000_000
-            waits = [u / second for u in units]
-        yield pd.DataFrame({tie: rows["tie"], key: key_[0], "allowed": allowed, "retry_after": pd.Series(waits, dtype="float64", index=rows.index)})
-
-    return calls.groupBy("key").applyInPandasWithState(
-        verdicts, f"`{tie}` BIGINT, `{key}` STRING, allowed BOOLEAN, retry_after DOUBLE", "full_at STRING",
-        "append", GroupStateTimeout.NoTimeout,
-    )
+
+def stream_throttle(requests: DataFrame, key: str, time_us: str, tie: str, rpm: Column, keep_seconds: int = DAY_SECONDS) -> DataFrame:
+    """(tie, key, ``allowed``, ``retry_after``) per request: token bucket per key. No limit or one of
+    zero refuses all. A bucket's state ends ``keep_seconds`` after its last request: then it is full,
+    so take more than a minute and more than requests can be late."""
+    calls = _call_columns(requests, key, time_us, tie, rpm=F.coalesce(rpm.cast("bigint"), F.lit(0).cast("bigint")))
+    return calls.groupBy("key").transformWithStateInPandas(
+        TokenBucket(keep_seconds * 1000), "tie BIGINT, key STRING, allowed BOOLEAN, retry_after DOUBLE", "append", "ProcessingTime"
+    ).withColumnsRenamed({"tie": tie, "key": key})
 
 
 def stream_ttl_dedup(
-    requests: DataFrame, key: str, time_us: str, tie: str, fills: Column, ttl_seconds: int = 300, delay: str = "10 minutes"
+    requests: DataFrame, key: str, time_us: str, tie: str, fills: Column, ttl_seconds: Column | int = 300,
+    delay_seconds: int = 600, default_seconds: int = 300, keep_seconds: int = DAY_SECONDS,
 ) -> DataFrame:
-    """(tie, key, ``hit``) per request, however late; one that comes late is judged by
-    what its key has seen so far.
+    """(tie, key, ``hit``) per request, however late.
 
-    A key keeps one number for good. Ending it by event time needs a watermark, and with
-    that Spark drops every request behind it; so ``delay`` has no effect and is only
-    accepted.
+    A late request is judged by the answers that held at its own time, if it is at most
+    ``delay_seconds`` behind its key's latest request; later ones by those of them that are
+    left. A key's state ends ``keep_seconds`` after its last change.
     """
-    ttl = ttl_seconds * 1_000_000
-    calls = requests.select(
-        F.col(key).alias("key"), F.col(time_us).alias("t_us"), F.col(tie).cast("bigint").alias("tie"),
-        F.coalesce(fills, F.lit(False)).alias("fills"),
-    )
+    calls = _call_columns(requests, key, time_us, tie, fills=F.coalesce(fills, F.lit(False)), ttl=ttl_us(ttl_seconds, default_seconds))
+    return calls.groupBy("key").transformWithStateInPandas(
+        Answers(keep_seconds * 1000, delay_seconds * 1_000_000), "tie BIGINT, key STRING, hit BOOLEAN", "append", "ProcessingTime"
+    ).withColumnsRenamed({"tie": tie, "key": key})
+
+
+def write_per_minute(
+    requests: DataFrame, folder: str, label: str, time_us: str, by: list[str], sums: dict[str, Column], delay_seconds: int = 600
+):
+    """Start sums per minute (``requests`` and ``sums``) of a stream, with an output of its own for late rows.
+
+    A row is late when it is more than ``delay_seconds`` behind the latest time of all
+    earlier micro-batches: a minute that far back counts as done, and its late rows go whole
+    to ``folder/late``. All others are added up into ``folder/minutes``. Each micro-batch has its
+    own subfolders and overwrites them, so one that is repeated counts once. Sums of both
+    outputs together are those of a batch run; see :func:`read_per_minute`.
+    """
+    spark = requests.sparkSession
+    folder = folder.rstrip("/")
+    seen_schema = "latest BIGINT"
+    spark.createDataFrame([], seen_schema).write.mode("overwrite").parquet(f"{folder}/seen/batch=-1")
 
-    def verdicts(key_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _ordered(frames)
-        made = int(state.get[0]) if state.exists else None
-        hits, made = ttl_run(rows["t_us"].tolist(), rows["fills"].tolist(), ttl, made)
-        if made is not None:
-            state.update((made,))
-        yield pd.DataFrame({tie: rows["tie"], key: key_[0], "hit": hits})
+    def store(batch: DataFrame, number: int) -> None:
+        here = batch.sparkSession
+        earlier = here.read.schema(f"{seen_schema}, batch BIGINT").parquet(f"{folder}/seen").filter(F.col("batch") < number)
+        latest = earlier.agg(F.max("latest")).first()[0]
+        late = F.lit(False) if latest is None else F.coalesce(F.col(time_us) < latest - delay_seconds * 1_000_000, F.lit(False))
+        batch = batch.persist()
+        try:
+            minute_sums(batch.filter(~late), time_us, by, sums).write.mode("overwrite").parquet(f"{folder}/minutes/batch={number}")
+            batch.filter(late).write.mode("overwrite").parquet(f"{folder}/late/batch={number}")
+            batch.agg(F.max(time_us).alias("latest")).write.mode("overwrite").parquet(f"{folder}/seen/batch={number}")
+        finally:
+            batch.unpersist()
 
-    return calls.groupBy("key").applyInPandasWithState(
-        verdicts, f"`{tie}` BIGINT, `{key}` STRING, hit BOOLEAN", "made BIGINT", "append", GroupStateTimeout.NoTimeout
-    )
+    return requests.writeStream.foreachBatch(store).trigger(availableNow=True).option("checkpointLocation", f"{folder}/{label}-state").start()
 
 
-def stream_per_minute(requests: DataFrame, time: str, delay: str, *by: str) -> DataFrame:
-    """Requests per minute; a minute comes out once the watermark has passed it.
-    Requests later than ``delay`` are dropped, which a batch run does not do."""
-    return per_minute(requests.withWatermark(time, delay), time, *by)
+def minute_sums(requests: DataFrame, time_us: str, by: list[str], sums: dict[str, Column]) -> DataFrame:
+    minute = F.expr(f"floor(`{time_us}` / 60000000) * 60000000").cast("bigint")
+    return requests.groupBy(*by, minute.alias("minute_us")).agg(F.count("*").alias("requests"), *[F.sum(c).alias(n) for n, c in sums.items()])
+
+
+def read_per_minute(spark: SparkSession, folder: str, time_us: str, by: list[str], sums: dict[str, Column], late: bool = True) -> DataFrame:
+    """Sums per minute of what :func:`write_per_minute` has stored, with or without late rows."""
+    found = spark.read.parquet(f"{folder.rstrip('/')}/minutes").drop("batch")
+    if late:
+        found = found.unionByName(minute_sums(spark.read.parquet(f"{folder.rstrip('/')}/late"), time_us, by, sums))
+    return found.groupBy(*by, "minute_us").agg(*[F.sum(c).alias(c) for c in ("requests", *sums)])
 
 
 def stream_source(spark: SparkSession, step: dict, options: dict[str, str]):
@@ -93,14 +111,34 @@ def stream_source(spark: SparkSession, step: dict, options: dict[str, str]):
     return reader.option("kafka.group.id", group) if group else reader
 
 
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """What stateful processors need; a query started in here keeps these settings.
+
+    State that ends by the clock asks for one more batch after every batch, without which
+    taking what is there would never be done.
+    """
+    wanted = {STATE_STORE: ROCKSDB, "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def run_available(stream: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """Process what the source holds now into a parquet sink and read it back."""
+    """Process what the source holds now into a parquet sink and read it back. For streams without a watermark."""
     spark = stream.sparkSession
     path = path or scratch_path(spark, label)
-    query = (
+    writer = (
         stream.writeStream.format("parquet").outputMode("append").trigger(availableNow=True)
-        .option("checkpointLocation", f"{path}-state").option("path", path).start()
+        .option("checkpointLocation", f"{path}-state").option("path", path)
     )
+    with state_on_disk(spark):
+        query = writer.start()
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 

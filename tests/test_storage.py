@@ -3,6 +3,7 @@
 import json
 import time
 
+import pandas as pd
 from pyspark.sql import functions as F
 from test_corpus import document
 
@@ -14,6 +15,7 @@ from flowspark.sources import audit as A
 from flowspark.sources import flows as S
 from flowspark.sources.metadata import read_metadata
 from flowspark.streaming import log as L
+from flowspark.streaming import stateful as P
 
 
 def put(folder, name, text):
@@ -102,23 +104,95 @@ def test_streams_over_several_batches_equal_batch(spark, sf, folder):
     want = O.throttle(calls, "provider", "t_us", "event_id", rpm, 60).select(*got.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     fills = F.col("status") == "success"
-    got = L.run_available(L.stream_ttl_dedup(stream, "request_key", "t_us", "event_id", fills, 60, "1 minute"), "d", f"{folder}/d")
+    got = L.run_available(L.stream_ttl_dedup(stream, "request_key", "t_us", "event_id", fills, 60), "d", f"{folder}/d")
     want = O.ttl_dedup(calls, "request_key", "t_us", "event_id", fills, 60, 60).select(*got.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert len(list(spark.read.parquet(f"{folder}/t").inputFiles())) >= 4
 
 
-def test_late_requests_get_verdicts(spark, folder):
-    """The last file is hours behind the watermark of the others."""
-    minute = 60_000_000
-    for i, rows in enumerate([[(1, "a", 600), (2, "b", 600)], [(3, "a", 900)], [(4, "a", 901), (5, "c", 10), (6, "b", 11)]]):
-        at = [(tie, key, m * minute, True) for tie, key, m in rows]
-        spark.createDataFrame(at, "tie long, key string, t_us long, ok boolean").coalesce(1).write.parquet(f"{folder}/in/part={i}")
+def put_files(spark, folder, files, schema):
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/part={i}")
         time.sleep(0.05)
-    stream = spark.readStream.schema("tie long, key string, t_us long, ok boolean").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
-    out = L.stream_ttl_dedup(stream, "key", "t_us", "tie", F.col("ok"), 300, "10 minutes")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/part=*")
+
+
+CALL = "tie long, key string, t_us long, ok boolean"
+MINUTE = 60_000_000
+
+
+def test_late_requests_are_judged_by_the_answers_of_their_time(spark, folder):
+    """Answers hold for 300 minutes; the last files are hours behind the others."""
+    files = [
+        [(1, "a", 600), (2, "b", 600)], [(3, "a", 899), (4, "a", 901)], [(5, "a", 1500)],
+        [(6, "a", 599), (7, "a", 650), (8, "a", 1201), (9, "a", 1202), (10, "c", 10), (11, "b", 11), (12, "b", 12)],
+    ]
+    rows = [[(tie, key, m * MINUTE, True) for tie, key, m in f] for f in files]
+    stream = put_files(spark, f"{folder}/in", rows, CALL)
+    out = L.stream_ttl_dedup(stream, "key", "t_us", "tie", F.col("ok"), 300 * 60, 2000 * 60)
     got = {r["tie"]: r["hit"] for r in L.run_available(out, "d", f"{folder}/d").collect()}
-    assert sorted(got) == [1, 2, 3, 4, 5, 6] and got[4] and not got[5]
+    assert got == {
+        1: False, 2: False, 3: True, 4: False, 5: False,
+        6: False,  # before any answer was made, hours later or not
+        7: True, 8: True,  # by the answers of 600 and 901
+        9: False, 10: False, 11: False, 12: True,
+    }
+
+
+def test_state_of_an_idle_key_ends(spark, folder):
+    schema = CALL.replace("ok boolean", "rpm int")
+    first = [(1, "a", 0, 1), (2, "none", 0, None)]
+    stream = put_files(spark, f"{folder}/in", [first], schema)
+    throttled = L.stream_throttle(stream, "key", "t_us", "tie", F.col("rpm"), keep_seconds=2)
+    held = L.stream_ttl_dedup(stream.withColumn("ok", F.lit(True)), "key", "t_us", "tie", F.col("ok"), 300, keep_seconds=2)
+    for name, out in (("t", throttled), ("d", held)):
+        L.run_available(out, name, f"{folder}/{name}")
+    time.sleep(3)
+    put_files(spark, f"{folder}/more", [[(3, "a", 1, 1)]], schema)
+    spark.read.parquet(f"{folder}/more/part=0").coalesce(1).write.parquet(f"{folder}/in/part=9")
+    got = {r["tie"]: (r["allowed"], r["retry_after"]) for r in L.run_available(throttled, "t", f"{folder}/t").collect()}
+    assert got == {1: (True, 0.0), 2: (False, None), 3: (True, 0.0)}
+    assert {r["tie"]: r["hit"] for r in L.run_available(held, "d", f"{folder}/d").collect()} == {1: False, 2: False, 3: False}
+
+
+def test_hot_key_in_chunks(monkeypatch):
+    """One key's chunks come in any order and leave in chunks; rows equal to the batch rule."""
+    monkeypatch.setattr(P, "CHUNK", 7)
+    times = [(37 * k) % 500 * 1_000_000 for k in range(500)]
+    rows = [pd.DataFrame({"t_us": times[a : a + 90], "tie": range(a, min(a + 90, 500)), "fills": True, "ttl": 20_000_000, "rpm": 3}) for a in range(0, 500, 90)]
+    order = sorted(range(500), key=lambda k: (times[k], k))
+
+    class Value(dict):
+        exists, get = (lambda self: "v" in self), (lambda self: self["v"])
+        update = lambda self, v: self.__setitem__("v", v)
+        iterator = lambda self: (((k,), (v,)) for k, v in self.items())
+        updateValue = lambda self, k, v: self.__setitem__(k[0], v[0])
+        removeKey = lambda self, k: self.__delitem__(k[0])
+
+    answers, bucket = P.Answers(0, 0), P.TokenBucket(0)
+    answers.answers, bucket.full_at = Value(), Value()
+    hits = list(answers.handleInputRows(("k",), iter(rows), None))
+    allowed = list(bucket.handleInputRows(("k",), iter(rows), None))
+    assert len(hits) == len(allowed) == -(-500 // 7)
+    ordered = [times[k] for k in order]
+    assert pd.concat(hits)["hit"].tolist() == O.ttl_run(ordered, [True] * 500, [20_000_000] * 500, None)[0]
+    assert pd.concat(allowed)["allowed"].tolist() == O.bucket_run(ordered, 3, None)[0]
+    assert len(answers.answers) == 1
+
+
+def test_minutes_and_late_rows_add_up_to_the_batch(spark, folder):
+    files = [[(k, "p", (100 + k) * MINUTE, k) for k in range(5)], [(9, "p", 103 * MINUTE, 7)], [(10, "p", 60 * MINUTE, 1), (11, "q", 90 * MINUTE, 2), (12, "p", None, 3)]]
+    schema = "tie long, provider string, t_us long, tokens int"
+    stream = put_files(spark, f"{folder}/in", files, schema)
+    sums = {"tokens": F.col("tokens")}
+    L.write_per_minute(stream, f"{folder}/out", "m", "t_us", ["provider"], sums, delay_seconds=600).awaitTermination()
+    late = spark.read.parquet(f"{folder}/out/late")
+    assert sorted(r.tie for r in late.collect()) == [10, 11]
+    whole = spark.createDataFrame([r for f in files for r in f], schema)
+    want = L.minute_sums(whole, "t_us", ["provider"], sums)
+    got = L.read_per_minute(spark, f"{folder}/out", "t_us", ["provider"], sums).select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert L.read_per_minute(spark, f"{folder}/out", "t_us", ["provider"], sums, late=False).count() == want.count() - 2
 
 
 def test_stream_flow_batches_may_repeat(spark, sf):
