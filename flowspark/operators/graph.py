@@ -34,45 +34,85 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _chains(chain: DataFrame) -> DataFrame:
+    """(flow, name, target, dist): from each step with one parent up to the next step with none or several.
+
+    ``chain`` has the steps with one parent, its only entry of ``parents``. A pointer jumps as far as its target's own
+    pointer, so its reach doubles every round, and a chain of n steps takes about log2(n)
+    rounds. Steps on or below a cycle of such steps never arrive and are left out: once
+    a round has let no pointer arrive, only those are left.
+    """
+    start = chain.select("flow", "name", F.col("parents")[0].alias("target"), F.lit(1).cast("bigint").alias("dist"))
+    above = chain.select("flow", F.col("name").alias("target"), F.lit(True).alias("_open"))
+    found = cut_lineage(start.join(above, ["flow", "target"], "left").select(
+        "flow", "name", "target", "dist", F.coalesce("_open", F.lit(False)).alias("open")
+    ))
+    arrived, left = [found.filter("NOT open")], found.agg(F.count_if("open")).first()[0]
+    while left:
+        still = found.filter("open")
+        known = _union(arrived).unionByName(still).select(
+            "flow", F.col("name").alias("target"), F.col("target").alias("_target"), F.col("dist").alias("_dist"), F.col("open").alias("_open")
+        )
+        found = cut_lineage(still.join(known, ["flow", "target"]).select(
+            "flow", "name", F.col("_target").alias("target"), (F.col("dist") + F.col("_dist")).alias("dist"), F.col("_open").alias("open")
+        ))
+        before, left = left, found.agg(F.count_if("open")).first()[0]
+        arrived.append(found.filter("NOT open"))
+        if left == before:
+            break
+    return _union(arrived).drop("open")
+
+
 def placed_levels(steps: DataFrame, ignore_unknown: bool = False) -> tuple[DataFrame, DataFrame]:
     """Longest path from the roots: (flow, name, pos, level) of every step that can
     be placed, and (flow, name, pos) of the rest: on or behind a cycle, or, unless
     ``ignore_unknown``, behind a parent that is no step.
 
-    A round settles the steps whose parents were all settled before it. Only the
-    edges out of the last round's steps are joined.
+    A step with one parent lies one level below it, so chains of such steps are
+    contracted first. What is left are roots and steps where paths meet. Those are peeled:
+    a round settles the steps whose last open edge went with the round before, and stores
+    only the edges that are still open.
     """
-    own = cut_lineage(nodes(steps))
-    links = own.select("flow", F.explode(F.array_distinct("parents")).alias("parent"), F.col("name").alias("child"))
-    if ignore_unknown:
-        links = links.join(own.select("flow", F.col("name").alias("parent")), ["flow", "parent"], "left_semi")
-        need = links.groupBy("flow", F.col("child").alias("name")).agg(F.count("*").alias("need"))
-        open_ = own.select("flow", "name", "pos").join(need, ["flow", "name"], "left").fillna(0, ["need"])
-    else:
-        open_ = own.select("flow", "name", "pos", F.size(F.array_distinct("parents")).cast("bigint").alias("need"))
+    own = cut_lineage(nodes(steps).withColumn("parents", F.array_distinct("parents")))
     if ignore_unknown:
-        links, open_ = cut_lineage(links), cut_lineage(open_)
-
-    level, done = 0, []
-    while True:
-        ready = open_.filter("need = 0")
+        links = own.select("flow", F.explode("parents").alias("parent"), "name")
+        known = links.join(own.select("flow", F.col("name").alias("parent")), ["flow", "parent"], "left_semi")
+        kept = known.groupBy("flow", "name").agg(F.collect_list("parent").alias("parents"))
+        own = cut_lineage(own.drop("parents").join(kept, ["flow", "name"], "left").withColumn("parents", F.coalesce("parents", F.array().cast("array<string>"))))
+    counted = own.select("flow", "name", "pos", "parents", F.size("parents").cast("bigint").alias("need"))
+    pointers = _chains(counted.filter("need = 1"))
+
+    target = pointers.select("flow", F.col("name").alias("parent"), "target", "dist")
+    meeting = counted.filter("need > 1")
+    edges_left = cut_lineage(
+        meeting.select("flow", F.col("name").alias("child"), F.explode("parents").alias("parent"))
+        .join(target, ["flow", "parent"], "left")
+        .select("flow", F.coalesce("target", "parent").alias("source"), "child", (F.coalesce("dist", F.lit(0)) + 1).alias("weight"))
+    )
+    zero = F.lit(0).cast("bigint")
+    ready = counted.filter("need = 0").select("flow", "name", "pos", zero.alias("level"))
+    open_ = meeting.drop("parents").withColumn("level", zero)
+    done = [ready]
+    while not open_.isEmpty():
+        sources = ready.select("flow", F.col("name").alias("source"), F.col("level").alias("_from"))
+        met = edges_left.join(sources, ["flow", "source"]).groupBy("flow", F.col("child").alias("name")).agg(
+            F.count("*").alias("met"), F.max(F.col("_from") + F.col("weight")).alias("below")
+        )
+        open_ = cut_lineage(open_.join(met, ["flow", "name"], "left").select(
+            "flow", "name", "pos", (F.col("need") - F.coalesce("met", F.lit(0))).alias("need"), F.greatest("level", "below").alias("level")
+        ))
+        ready, open_ = open_.filter("need = 0").drop("need"), open_.filter("need > 0")
         if ready.isEmpty():
             break
-        done.append(ready.select("flow", "name", "pos", F.lit(level).cast("bigint").alias("level")))
-        met = (
-            links.join(ready.select("flow", F.col("name").alias("parent")), ["flow", "parent"])
-            .groupBy("flow", F.col("child").alias("name"))
-            .agg(F.count("*").alias("met"))
-        )
-        open_ = cut_lineage(
-            open_.filter("need > 0")
-            .join(met, ["flow", "name"], "left")
-            .select("flow", "name", "pos", (F.col("need") - F.coalesce("met", F.lit(0))).alias("need"))
-        )
-        level += 1
-    rest = open_.select("flow", "name", "pos")
-    placed = _union(done) if done else rest.withColumn("level", F.lit(0).cast("bigint")).limit(0)
-    return placed, rest
+        done.append(ready)
+        edges_left = cut_lineage(edges_left.join(sources, ["flow", "source"], "left_anti"))
+    anchors = _union(done)
+    chained = counted.filter("need = 1").join(pointers, ["flow", "name"], "left").join(
+        anchors.select("flow", F.col("name").alias("target"), F.col("level").alias("_from")), ["flow", "target"], "left"
+    ).select("flow", "name", "pos", (F.col("_from") + F.col("dist")).alias("level"))
+    never = open_.select("flow", "name", "pos", F.lit(None).cast("bigint").alias("level"))
+    levels = cut_lineage(anchors.unionByName(chained).unionByName(never))
+    return levels.filter("level IS NOT NULL"), levels.filter("level IS NULL").drop("level")
 
 
 def numbered(df: DataFrame, group: str, place: str, width: int = 10_000) -> DataFrame:

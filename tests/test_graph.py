@@ -40,6 +40,29 @@ def test_levels(spark):
         assert [levels[flow, n] for n, _ in steps] == expected, title
 
 
+def test_long_chain_in_few_rounds(spark, monkeypatch):
+    """200 steps in a row, chains that meet, and a chain that hangs on a cycle."""
+    chain = [("s0", [])] + [(f"s{k}", [f"s{k - 1}"]) for k in range(1, 200)]
+    arms = [("a0", [])] + [(f"a{k}", [f"a{k - 1}"]) for k in range(1, 50)] + [("m", ["a49", "a3", "a0"]), ("n", ["m"])]
+    ring = [("x", ["z"]), ("y", ["x"]), ("z", ["y"])] + [(f"t{k}", [f"t{k - 1}" if k else "z"]) for k in range(30)] + [("r", []), ("q", ["t9", "r"])]
+    stored = []
+    real = G.cut_lineage
+
+    def counting(df):
+        stored.append(df.columns)
+        return real(df)
+
+    monkeypatch.setattr(G, "cut_lineage", counting)
+    for steps, expected in ((chain, list(range(200))), (arms, [*range(50), 50, 51]), (ring, None)):
+        stored.clear()
+        got = {r.name: (r.level, r.placed) for r in G.step_levels(table(spark, steps)).collect()}
+        assert sum("open" in c for c in stored) + sum("need" in c for c in stored) <= 12
+        if expected:
+            assert [got[n] for n, _ in steps] == [(e, True) for e in expected]
+        else:
+            assert [n for n, (_, placed) in got.items() if placed] == ["r"] and got["x"] == (1, False) and got["q"] == (34, False)
+
+
 def test_last_definition_of_a_name_counts(spark):
     got = G.step_levels(table(spark, [("a", []), ("b", []), ("b", ["a"])])).collect()
     assert {r.name: r.level for r in got} == {"a": 0, "b": 1}
