@@ -35,7 +35,7 @@ def _parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 def parse_flows(spark: SparkSession, sf: str) -> DataFrame:
     return _parsed(spark, sf).select(
-        "flow", "status", "truncated", F.col("document.name").alias("name"),
+        "flow", "status", "truncated", "reason", F.col("document.name").alias("name"),
         F.size("document.steps").cast("bigint").alias("n_steps"),
         F.array_join(F.transform("document.steps", lambda s: F.concat_ws("/", s["name"], s["order"].cast("string"), s["output"]["tempView"])), ",").alias("steps"),
     )
@@ -91,15 +91,16 @@ def step_reads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def build_eval_prompts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = derived(spark, sf, "flow_docs")
+    """The typed flow of every valid answer, written as JSON again."""
+    docs = _parsed(spark, sf).filter("status = 'ok'")
     note = F.when(F.col("flow") % 2 == 0, F.concat(F.lit("orders of "), F.col("flow").cast("string")))
-    return docs.select("flow", C.evaluation_prompt(F.col("doc"), note).alias("prompt"))
+    return docs.select("flow", C.evaluation_prompt(C.flow_json("document"), note).alias("prompt"))
 
 
 def tune_prompts(spark: SparkSession, sf: str) -> DataFrame:
     """Feedback for judged flows, retry text for answers that did not parse."""
     parsed = _parsed(spark, sf).filter("status <> 'ok'")
-    return parsed.select("flow", C.retry_prompt(C.generation_prompt(F.col("flow").cast("string")), F.col("status")).alias("prompt"))
+    return parsed.select("flow", C.retry_prompt(C.generation_prompt(F.col("flow").cast("string")), F.col("reason")).alias("prompt"))
 
 
 def safe_names(spark: SparkSession, sf: str) -> DataFrame:
@@ -178,10 +179,20 @@ PARSED = rf"""SELECT flow, response, json, CASE WHEN json IS NULL THEN 'no_json'
         AND json_type(s, '$.diagram.x') IN ('UBIGINT', 'BIGINT') AND json_type(s, '$.createdDate') = 'OBJECT')) = json_array_length(j, '$.steps') THEN 'ok'
    ELSE 'invalid_flow' END AS status, j FROM (SELECT *, CASE WHEN json_valid(json) THEN CAST(json AS JSON) END AS j FROM ({EXTRACTED}))"""
 
+_FAILING = """coalesce(CASE WHEN coalesce(json_type(j, '$.name'), '') <> 'VARCHAR' THEN 'name: text expected' WHEN coalesce(json_type(j, '$.steps'), '') <> 'ARRAY' THEN 'steps: a list of steps expected' END,
+   list_filter(list_transform(CAST(json_extract(j, '$.steps[*]') AS JSON[]), lambda s, i: concat('steps[', i - 1, '].',
+     CASE WHEN coalesce(json_type(s, '$.name'), '') <> 'VARCHAR' THEN 'name: text'
+          WHEN NOT regexp_full_match(coalesce(json_extract_string(s, '$.order'), ''), '[0-9]+') THEN 'order: a whole number'
+          WHEN coalesce(json_type(s, '$.sql'), '') <> 'VARCHAR' THEN 'sql: text' WHEN coalesce(json_type(s, '$.output.tempView'), '') <> 'VARCHAR' THEN 'output.tempView: text'
+          WHEN coalesce(json_type(s, '$.diagram.x'), '') NOT IN ('UBIGINT', 'BIGINT') THEN 'diagram.x: a whole number'
+          WHEN coalesce(json_type(s, '$.createdDate'), '') <> 'OBJECT' THEN 'createdDate: a time under $date' ELSE '-' END, ' expected')), lambda r: r NOT LIKE '%.- expected')[1])"""
+REASON = f"""CASE status WHEN 'no_json' THEN concat('no JSON object found', CASE WHEN response LIKE '%{{%' THEN '; the answer seems to be cut off' ELSE '' END)
+   WHEN 'bad_json' THEN 'not one valid JSON object' WHEN 'invalid_flow' THEN {_FAILING} END"""
+
 ORACLE = {
     "extract_json": f"{with_tables('responses')} SELECT flow, json FROM ({EXTRACTED})",
     "parse_flows": f"""{with_tables('responses')}, p AS MATERIALIZED ({PARSED})
-        SELECT flow, status, status = 'no_json' AND response LIKE '%{{%' AS truncated,
+        SELECT flow, status, status = 'no_json' AND response LIKE '%{{%' AS truncated, {REASON} AS reason,
           CASE WHEN status = 'ok' THEN json_extract_string(j, '$.name') END AS name,
           CASE WHEN status = 'ok' THEN CAST(json_array_length(j, '$.steps') AS BIGINT) END AS n_steps,
           CASE WHEN status = 'ok' THEN array_to_string(list_transform(CAST(json_extract(j, '$.steps[*]') AS JSON[]), lambda s:
@@ -202,7 +213,7 @@ ORACLE = {
         FROM edges WHERE known GROUP BY flow, parent HAVING count(*) > 3""",
     "flow_step_listing": f"""{STEPS} SELECT flow, ord, name, concat(CASE WHEN parents <> '' THEN '  ' ELSE '' END, '[', ord, '] ', name, ' ',
         CASE WHEN parents <> '' THEN concat('(depends on: ', replace(parents, ',', ', '), ')') ELSE '' END) AS line,
-        CASE WHEN length(sql_text) > 120 THEN concat(substr(sql_text, 1, 120), '...') ELSE sql_text END AS sql_preview FROM flow_steps""",
+        sql_text, CASE WHEN length(sql_text) > 120 THEN concat(substr(sql_text, 1, 120), '...') ELSE sql_text END AS sql_preview FROM flow_steps""",
     "flow_variables": f"""{STEPS} SELECT DISTINCT flow, name AS step, 'table' AS kind, unnest(regexp_extract_all(sql_text, '\\$\\{{(\\w+)\\}}', 1)) AS variable FROM flow_steps
         UNION ALL SELECT DISTINCT flow, name, 'parameter', unnest(regexp_extract_all(sql_text, '\\$\\[(\\w+)\\]', 1)) FROM flow_steps""",
     "step_lineage": f"""{STEPS}{CLOSURE}, own AS (SELECT DISTINCT flow, name, unnest(regexp_extract_all(sql_text, '\\$\\{{(\\w+)\\}}', 1)) AS source FROM flow_steps),
@@ -212,12 +223,12 @@ ORACLE = {
     "target_lineage": f"""{STEPS}{CLOSURE}, w AS (SELECT flow, name, concat(target_table, '.', name) AS target FROM flow_steps WHERE target_table <> '')
         SELECT flow, target, name AS step FROM w UNION SELECT c.flow, w.target, c.up FROM closure c JOIN w ON c.flow = w.flow AND c.name = w.name""",
     "step_reads": f"{STEPS}{READS} SELECT flow, step, view, owner FROM reads",
-    "build_eval_prompts": f"""{with_tables('flow_docs')} SELECT flow, concat('Evaluate the following Spark SQL ETL flow:', chr(10), chr(10), '```json', chr(10), doc, chr(10), '```',
+    "build_eval_prompts": f"""{with_tables('flow_docs', 'responses')}, p AS MATERIALIZED ({PARSED}) SELECT flow, concat('Evaluate the following Spark SQL ETL flow:', chr(10), chr(10), '```json', chr(10), doc, chr(10), '```',
         CASE WHEN flow % 2 = 0 THEN concat(chr(10), chr(10), 'Original business description (use to verify correctness and completeness):', chr(10), chr(10), 'orders of ', flow) ELSE '' END) AS prompt
-        FROM flow_docs""",
+        FROM flow_docs SEMI JOIN (SELECT flow FROM p WHERE status = 'ok') USING (flow)""",
     "tune_prompts": f"""{with_tables('responses')}, p AS MATERIALIZED ({PARSED})
         SELECT flow, concat('Generate a Spark SQL ETL flow for the following business requirement:', chr(10), chr(10), flow, chr(10), chr(10),
-          'Respond with ONLY the JSON flow definition. No extra text.', chr(10), chr(10), '---', chr(10), 'The previous response was NOT valid JSON. Error: ', status, chr(10),
+          'Respond with ONLY the JSON flow definition. No extra text.', chr(10), chr(10), '---', chr(10), 'The previous response was NOT valid JSON. Error: ', {REASON}, chr(10),
           'Fix the JSON syntax and respond with ONLY the JSON object — no explanations, no markdown, no code fences.', chr(10)) AS prompt
         FROM p WHERE status <> 'ok'""",
     "classify_errors": """SELECT event_id, CASE k % 6 WHEN 0 THEN 'api_key' WHEN 1 THEN 'authentication' WHEN 4 THEN 'gateway' WHEN 5 THEN 'none'

@@ -43,6 +43,13 @@ def request_key(spark: SparkSession, sf: str) -> DataFrame:
     return R.message_key(_with_model(table(spark, sf, "conversations")), "conv_id", "model", "turn").select("conv_id", "request_key")
 
 
+def request_key_of_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """The key from whole requests, messages as an array."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content"))))
+    whole = _with_model(table(spark, sf, "conversations")).groupBy("conv_id", "model").agg(turns.alias("messages"))
+    return whole.select("conv_id", R.request_key("model", "messages").alias("request_key"))
+
+
 def throttle(spark: SparkSession, sf: str) -> DataFrame:
     calls = log(spark, sf).select("event_id", "provider", "t_us")
     limited = O.throttle(calls, "provider", "t_us", "event_id", R.rpm_limit("provider", OVERRIDES))
@@ -197,7 +204,7 @@ def recent_sessions(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        route_requests, request_key, throttle, ttl_dedup, ttl_per_request, request_cost, cost_by_model, usage_report, rpm_report,
+        route_requests, request_key, request_key_of_arrays, throttle, ttl_dedup, ttl_per_request, request_cost, cost_by_model, usage_report, rpm_report,
         resolve_fallback, fallback_attempts, access_check, access_check_strict, read_audit, write_audit, model_catalog,
         model_catalog_no_rules, purge_responses, read_descriptions, batch_items, batch_summary, session_history, recent_sessions,
     )
@@ -262,8 +269,9 @@ ORACLE = {
             WHEN regexp_matches(prompt, '(?i)\bthe\b') THEN 'opencode' ELSE 'openai' END AS provider,
           CASE WHEN model = 'openai' THEN 'openai' WHEN model = 'opencode' THEN 'deepseek-chat' WHEN regexp_matches(prompt, '(?i)eau|ç') THEN 'gpt-4o'
             WHEN regexp_matches(prompt, '(?i)\bthe\b') THEN 'deepseek-chat' ELSE model END AS routed_model FROM p""",
-    "request_key": f"""WITH d AS (SELECT conv_id, {_MODEL} AS model, sha256(concat_ws('|', turn, role, text)) AS h FROM conversations)
-        SELECT conv_id, sha256(concat_ws('|', model, """
+    "request_key": f"""WITH n AS (SELECT conv_id, {_MODEL} AS model, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS n FROM conversations),
+        d AS (SELECT conv_id, model, sha256(concat_ws('|', n, coalesce(length(role), -1), coalesce(length(text), -1), coalesce(role, ''), coalesce(text, ''))) AS h FROM n)
+        SELECT conv_id, sha256(concat_ws('|', length(model), model, count(*), """
     + ", ".join(f"CAST(sum(CAST(concat('0x', substr(h, {1 + 15 * i}, 15)) AS HUGEINT)) AS VARCHAR)" for i in range(4))
     + ")) AS request_key FROM d GROUP BY conv_id, model",
     "throttle": THROTTLE,
@@ -302,3 +310,5 @@ ORACLE = {
     "session_history": _SESSION,
     "recent_sessions": f"SELECT * FROM ({_SESSION}) QUALIFY dense_rank() OVER (ORDER BY started_at DESC) <= 5",
 }
+
+ORACLE["request_key_of_arrays"] = ORACLE["request_key"]

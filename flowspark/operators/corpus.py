@@ -34,26 +34,40 @@ def _whole(v: str) -> str:
 
 _DATE = "coalesce(try_variant_get(s.createdDate, '$[\"$date\"]', 'string'), try_variant_get(s.createdDate, '$.date', 'string'))"
 
-_STEP_VALID = " AND ".join(
-    [
-        _is_text("s.name"),
+#: Fields of a step in document order: path, whether it is valid, and what is expected.
+_STEP_FIELDS = [
+    ("name", _is_text("s.name"), "text"),
+    (
+        "parents",
         "(s.parents IS NULL OR (coalesce(schema_of_variant(s.parents) IN ('ARRAY<STRING>', 'ARRAY<VOID>'), false)"
         " AND forall(try_variant_get(s.parents, '$', 'array<string>'), p -> p IS NOT NULL)))",
-        _is_whole("s.`order`"),
-        _is_text("s.sql"),
-        _is_text("s.output.tempView"),
-        *[_may_be_text(f"s.output.`{k}`") for k in OUTPUT_DEFAULTS],
-        _may_be_text("s.description"),
-        _is_whole("s.diagram.x"),
-        _is_whole("s.diagram.y"),
-        f"(s.active IS NULL OR coalesce(lower(try_variant_get(s.active, '$', 'string')) IN {TRUTH}, false))",
-        f"coalesce(try_cast({_DATE} AS TIMESTAMP) IS NOT NULL OR try_cast({_DATE} AS DOUBLE) IS NOT NULL, false)",
-    ]
-)
-
-_FLOW_VALID = (
-    f"{_is_text('v.name')} AND {_may_be_text('v.description')} AND v.steps IS NOT NULL "
-    f"AND forall(v.steps, s -> coalesce({_STEP_VALID}, false))"
+        "a list of texts",
+    ),
+    ("order", _is_whole("s.`order`"), "a whole number"),
+    ("sql", _is_text("s.sql"), "text"),
+    ("output.tempView", _is_text("s.output.tempView"), "text"),
+    *[(f"output.{k}", _may_be_text(f"s.output.`{k}`"), "text") for k in OUTPUT_DEFAULTS],
+    ("description", _may_be_text("s.description"), "text"),
+    ("diagram.x", _is_whole("s.diagram.x"), "a whole number"),
+    ("diagram.y", _is_whole("s.diagram.y"), "a whole number"),
+    ("active", f"(s.active IS NULL OR coalesce(lower(try_variant_get(s.active, '$', 'string')) IN {TRUTH}, false))", "true or false"),
+    ("createdDate", f"coalesce(try_cast({_DATE} AS TIMESTAMP) IS NOT NULL OR try_cast({_DATE} AS DOUBLE) IS NOT NULL, false)", "a time under $date"),
+]
+
+
+def _first_failing(fields: list[tuple[str, str, str]], place: str) -> str:
+    """CASE that names the first field that isn't valid; ``place`` is SQL for what stands before its path."""
+    whens = [f"WHEN NOT coalesce({valid}, false) THEN concat({place}, '{path}: {kind} expected')" for path, valid, kind in fields]
+    return f"CASE {' '.join(whens)} END"
+
+
+_FLOW_REASON = (
+    "coalesce("
+    + _first_failing(
+        [("name", _is_text("v.name"), "text"), ("description", _may_be_text("v.description"), "text"), ("steps", "v.steps IS NOT NULL", "a list of steps")],
+        "''",
+    )
+    + f", get(array_compact(transform(v.steps, (s, i) -> {_first_failing(_STEP_FIELDS, place=chr(39) + 'steps[' + chr(39) + ', i, ' + chr(39) + '].' + chr(39))})), 0))"
 )
 
 _FLOW_TYPED = f"""named_struct(
@@ -70,6 +84,9 @@ _FLOW_TYPED = f"""named_struct(
     'createdDate', named_struct('$date', {_DATE}))))"""
 
 
+NO_JSON, BAD_JSON, CUT_OFF = "no JSON object found", "not one valid JSON object", "; the answer seems to be cut off"
+
+
 def strict_json(text: Column, schema: str) -> Column:
     """Parse one JSON value and nothing else; NULL where there is more or less.
 
@@ -90,8 +107,10 @@ def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def parse_flows(responses: DataFrame, text: str = "response") -> DataFrame:
-    """Add ``json``, ``status`` (ok, no_json, bad_json, invalid_flow), ``truncated``
-    and the typed ``document`` (NULL unless ok). Bad answers stay as rows."""
+    """Add ``json``, ``status`` (ok, no_json, bad_json, invalid_flow), ``truncated``, the
+    typed ``document`` (NULL unless ok) and the ``reason`` of all others: for an invalid
+    flow the path of its first failing field and what is expected there, such as
+    ``steps[2].order: a whole number expected``. Bad answers stay as rows."""
     status = (
         F.when(F.col("json").isNull(), "no_json")
         .when(F.col("v").isNull(), "bad_json")
@@ -99,10 +118,13 @@ def parse_flows(responses: DataFrame, text: str = "response") -> DataFrame:
         .otherwise("ok")
     )
     found = _once(responses.withColumn("json", json_object(text)), "v", strict_json(F.col("json"), FLOW_LOOSE))
-    typed = _once(found, "document", F.expr(f"CASE WHEN {_FLOW_VALID} THEN {_FLOW_TYPED} END"))
+    failing = _once(found, "reason", F.expr(f"CASE WHEN v IS NOT NULL THEN {_FLOW_REASON} END"))
+    typed = _once(failing, "document", F.expr(f"CASE WHEN v IS NOT NULL AND reason IS NULL THEN {_FLOW_TYPED} END"))
+    cut_off = F.when(F.col("truncated"), F.lit(CUT_OFF)).otherwise("")
     return (
         typed.withColumn("status", status)
         .withColumn("truncated", (F.col("status") == "no_json") & truncated(text))
+        .withColumn("reason", F.when(F.col("status") == "no_json", F.concat(F.lit(NO_JSON), cut_off)).when(F.col("status") == "bad_json", BAD_JSON).otherwise(F.col("reason")))
         .drop("v")
     )
 
@@ -130,7 +152,7 @@ def step_listing(steps: DataFrame) -> DataFrame:
     ).otherwise(" ")
     indent = F.when(F.size("parents") > 0, "  ").otherwise("")
     line = F.concat(indent, F.format_string("[%d] %s", F.col("ord"), F.col("name")), after)
-    return steps.select("flow", "ord", "name", line.alias("line"), shorten("sql_text", 120).alias("sql_preview"))
+    return steps.select("flow", "ord", "name", line.alias("line"), "sql_text", shorten("sql_text", 120).alias("sql_preview"))
 
 
 def flow_variables(steps: DataFrame) -> DataFrame:
@@ -181,8 +203,13 @@ def generation_prompt(description: Column | str, tables_text: Column | None = No
     return F.concat(*parts, F.lit(GENERATE_TAIL))
 
 
+def flow_json(document: Column | str) -> Column:
+    """A typed flow as JSON, all fields in the order of the contract."""
+    return F.to_json(document, {"ignoreNullFields": "false"})
+
+
 def evaluation_prompt(document: Column, description: Column | str) -> Column:
-    """``document`` is the flow as JSON text."""
+    """``document`` is the flow as JSON text, such as :func:`flow_json` of a typed one."""
     description = F.col(description) if isinstance(description, str) else description
     extra = F.when(F.coalesce(description, F.lit("")) != "", F.concat(F.lit(EVALUATE_DESCRIPTION), description)).otherwise("")
     return F.concat(F.lit(EVALUATE_HEAD), document, F.lit("\n```"), extra)

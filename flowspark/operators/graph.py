@@ -8,6 +8,7 @@ at most, and plans stay short.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -115,8 +116,8 @@ def placed_levels(steps: DataFrame, ignore_unknown: bool = False) -> tuple[DataF
     return levels.filter("level IS NOT NULL"), levels.filter("level IS NULL").drop("level")
 
 
-def numbered(df: DataFrame, group: str, place: str, width: int = 10_000) -> DataFrame:
-    """Add ``n``: 1, 2, ... per group in the order of the whole number ``place``.
+def numbered(df: DataFrame, group: str, place: str, width: int = 10_000, then: Sequence[str] = ()) -> DataFrame:
+    """Add ``n``: 1, 2, ... per group in the order of the whole number ``place``, and of ``then`` where that is equal.
 
     Groups are counted in stretches of ``width`` places. Only the counts of the
     stretches meet in one task, so one huge group is numbered in parallel.
@@ -125,7 +126,7 @@ def numbered(df: DataFrame, group: str, place: str, width: int = 10_000) -> Data
     before = Window.partitionBy(group).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.groupBy(group, "_stretch").agg(F.count("*").alias("_rows"))
     starts = counts.select(group, "_stretch", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy(group, "_stretch").orderBy(place))
+    inside = F.row_number().over(Window.partitionBy(group, "_stretch").orderBy(place, *then))
     return cut.withColumn("_inside", inside).join(starts, [group, "_stretch"]).withColumn(
         "n", F.col("_start") + F.col("_inside")
     ).drop("_stretch", "_start", "_inside")

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowspark.operators.graph import numbered
+
 # Where a request names nothing (fixed values).
 DEFAULT_PROVIDER = "opencode"
 DEFAULT_MODEL = "gpt-4o"
@@ -80,24 +82,55 @@ def route(
     )
 
 
+def _message_parts(place: Column, role: Column, text: Column) -> list[Column]:
+    """Four whole numbers from the hash of a message at its place. Lengths stand before the texts, so
+    no two messages are written alike, and null is not empty."""
+    sizes = [F.coalesce(F.length(c), F.lit(-1)).cast("string") for c in (role, text)]
+    written = F.concat_ws("|", place.cast("string"), *sizes, F.coalesce(role, F.lit("")), F.coalesce(text, F.lit("")))
+    digest = F.sha2(written, 256)
+    return [F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
+
+
+def _whole_key(model: Column, count: Column, sums: list[Column]) -> Column:
+    model_size = F.coalesce(F.length(model), F.lit(-1)).cast("string")
+    return F.sha2(F.concat_ws("|", model_size, F.coalesce(model, F.lit("")), count.cast("string"), *[s.cast("string") for s in sums]), 256)
+
+
 def request_key(model: Column | str, messages: Column | str) -> Column:
-    """Same key for same model and messages; other settings do not count."""
+    """Key of a request whose messages are an array of (role, content).
+
+    Same key for the same model and messages in the same order; other settings do not
+    count. Hashes of the messages at their places are added up, so :func:`message_key`
+    gives the same key from rows.
+    """
     model = F.col(model) if isinstance(model, str) else model
-    messages = F.col(messages) if isinstance(messages, str) else messages
-    return F.sha2(F.to_json(F.struct(model.alias("model"), messages.alias("messages"))), 256)
+    messages = F.coalesce(F.col(messages) if isinstance(messages, str) else messages, F.array())
+    parts = F.transform(messages, lambda m, i: F.array(*_message_parts(i, m["role"], m["content"])))
+
+    def added(k: int) -> Column:
+        return F.aggregate(parts, F.lit(0).cast("decimal(38,0)"), lambda a, p: (a + p[k]).cast("decimal(38,0)"))
+
+    sums = [added(k) for k in range(4)]
+    return _whole_key(model, F.size(messages), sums)
 
 
 def message_key(messages: DataFrame, key: str, model: str, turn: str, role: str = "role", text: str = "text") -> DataFrame:
-    """Request key from one row per message, without bringing them together.
+    """The same key from one row per message, without bringing a request's messages together.
 
-    Every message is hashed with its turn; the hashes of a request are added up
-    in four parts, so map tasks reduce even a very long conversation to one row.
+    The order of the turns counts, not their numbers (null first; equal ones by role and
+    text). Places are numbered in stretches, and map tasks add up their part of the
+    hashes, so even a very long conversation is one row per task.
     """
-    digest = F.sha2(F.concat_ws("|", F.col(turn).cast("string"), role, text), 256)
-    parts = [F.conv(F.substring("_digest", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
-    sums = [F.sum(p).cast("decimal(38,0)").cast("string") for p in parts]
-    return messages.withColumn("_digest", digest).groupBy(key, model).agg(
-        F.sha2(F.concat_ws("|", F.max(model), *sums), 256).alias("request_key")
+    group = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit(""))
+    place = F.coalesce(F.col(turn).cast("bigint"), F.lit(-(1 << 62)))
+    rows = messages.select(
+        F.col(key).alias("_key"), F.col(model).alias("_model"), F.col(role).alias("_role"), F.col(text).alias("_text"),
+        group.alias("_group"), place.alias("_place"),
+    )
+    placed = numbered(rows, "_group", "_place", then=("_role", "_text"))
+    sums = [F.sum(p).cast("decimal(38,0)") for p in _message_parts(F.col("n") - 1, F.col("_role"), F.col("_text"))]
+    return placed.groupBy(F.col("_key").alias(key), F.col("_model").alias(model)).agg(
+        _whole_key(F.max("_model"), F.count("*"), sums).alias("request_key")
     )
 
 

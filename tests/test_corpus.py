@@ -62,6 +62,30 @@ def test_answers_are_classified(spark):
     assert wrong == {}
 
 
+REASONS = [
+    (document(order=None), "steps[0].order: a whole number expected"),
+    (document(order="two", sql=None), "steps[0].order: a whole number expected"),
+    (document(name=5, order=None), "steps[0].name: text expected"),
+    (document(output="LOAD_A"), "steps[0].output.tempView: text expected"),
+    (document(output={"tempView": "A", "table": 1}), "steps[0].output.table: text expected"),
+    (document(parents=["a", 1]), "steps[0].parents: a list of texts expected"),
+    (document(diagram={"x": 1}), "steps[0].diagram.y: a whole number expected"),
+    (document(active="maybe"), "steps[0].active: true or false expected"),
+    (document(createdDate={"$date": "yesterday"}), "steps[0].createdDate: a time under $date expected"),
+    ({**document(), "name": None}, "name: text expected"),
+    ({"name": "F"}, "steps: a list of steps expected"),
+    ({"name": "F", "steps": document()["steps"] * 2 + document(order=1.5)["steps"] + document(sql=3)["steps"]}, "steps[2].order: a whole number expected"),
+    ({"name": "F", "steps": [*document()["steps"], 7]}, "steps: a list of steps expected"),
+]
+
+
+def test_reason_names_the_first_failing_field(spark):
+    rows = [(i, json.dumps(d)) for i, (d, _) in enumerate(REASONS)] + [(100, ""), (101, '{"a'), (102, GOOD + GOOD), (103, GOOD)]
+    got = {r.i: r.reason for r in C.parse_flows(spark.createDataFrame(rows, "i INT, response STRING")).collect()}
+    want = {i: r for i, (_, r) in enumerate(REASONS)}
+    assert got == want | {100: C.NO_JSON, 101: C.NO_JSON + C.CUT_OFF, 102: C.BAD_JSON, 103: None}
+
+
 def test_defaults_are_filled(spark):
     row = C.parse_flows(spark.createDataFrame([(GOOD,)], "response STRING")).first().document
     s = row.steps[0]

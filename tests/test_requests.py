@@ -91,3 +91,26 @@ def test_catalog_and_purge(spark):
     assert (left.count(), removed.first().removed) == (1, 2)
     left, removed = R.purge(rules)
     assert (left.count(), removed.first().removed) == (0, 3)
+
+
+def test_both_forms_of_the_key_agree_and_separators_do_not_collide(spark):
+    long = [("user" if k % 2 == 0 else "assistant", f"text {k}") for k in range(300)]
+    requests = [
+        ("m", [("user", "a"), ("assistant", "b")]), ("m", [("assistant", "b"), ("user", "a")]), ("n", [("user", "a"), ("assistant", "b")]),
+        ("m", [("user|a", "b")]), ("m", [("user", "a|b")]), ("m", [("user", "")]), ("m", [("user", None)]), ("m", [(None, "x")]), ("m", [("", "x")]),
+        ("m", [("user", "a"), ("user", "a")]), ("m", [("user", "a")]), (None, [("user", "a")]), ("", [("user", "a")]), ("m", long), ("m", long[::-1]),
+    ]
+    arrays = spark.createDataFrame(
+        [(i, m, [{"role": r, "content": c} for r, c in messages]) for i, (m, messages) in enumerate(requests)],
+        "id int, model string, messages array<struct<role: string, content: string>>",
+    )
+    whole = {r.id: r.request_key for r in arrays.select("id", R.request_key("model", "messages").alias("request_key")).collect()}
+    assert len(set(whole.values())) == len(requests)
+    schema = "id int, model string, turn bigint, role string, text string"
+    for first, step in ((0, 1), (1, 1), (-7, 100_003)):  # other numbers, same order
+        rows = [(i, m, first + step * t, r, c) for i, (m, messages) in enumerate(requests) for t, (r, c) in enumerate(messages)]
+        keys = R.message_key(spark.createDataFrame(rows, schema).repartition(5), "id", "model", "turn")
+        assert {r.id: r.request_key for r in keys.collect()} == whole
+    odd = [(None, "m", None, "user", "a"), (None, "m", 5, "assistant", "b")]
+    got = R.message_key(spark.createDataFrame(odd, schema), "id", "model", "turn").collect()
+    assert [(r.id, r.request_key) for r in got] == [(None, whole[0])]
