@@ -110,9 +110,10 @@ def safe_names(spark: SparkSession, sf: str) -> DataFrame:
 def stored_flows(spark: SparkSession, sf: str) -> DataFrame:
     """Valid documents written as JSON and read again."""
     folder = scratch_path(spark, "flows")
-    S.write_flows(_parsed(spark, sf).filter("status = 'ok'"), folder)
+    docs = _parsed(spark, sf).filter("status = 'ok'").withColumn("asked", F.concat(F.lit("orders of "), F.col("flow").cast("string")))
+    S.write_flows(docs, folder, description="asked")
     return S.read_written(spark, folder).select(
-        "name", "safe_name", F.size("steps").cast("bigint").alias("n_steps"), F.get("steps", F.lit(0))["sql"].isNotNull().alias("has_sql")
+        "name", F.col("business_description").alias("asked"), "safe_name", F.size("steps").cast("bigint").alias("n_steps"), F.get("steps", F.lit(0))["sql"].isNotNull().alias("has_sql")
     )
 
 
@@ -237,5 +238,5 @@ ORACLE = {
 }
 
 ORACLE["safe_names"] = "SELECT p_partkey, translate(concat(p_name, '/', p_type), ' /' || chr(92), '___') AS safe FROM part"
-ORACLE["stored_flows"] = f"""SELECT name, concat(translate(name, ' /' || chr(92), '___'), '_flow') AS safe_name, n_steps, n_steps > 0 AS has_sql
+ORACLE["stored_flows"] = f"""SELECT name, concat('orders of ', flow) AS asked, concat(translate(name, ' /' || chr(92), '___'), '_flow') AS safe_name, n_steps, n_steps > 0 AS has_sql
     FROM ({ORACLE['parse_flows']}) WHERE status = 'ok'"""

@@ -172,6 +172,26 @@ def read_descriptions(spark: SparkSession, sf: str) -> DataFrame:
     ).transform(lambda d: S.description_lines(d, "raw", "doc_id", "file_line")).select("doc_id", "file_line", "description")
 
 
+def read_description_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines written to files and read by the reader; the file's own line number is left out."""
+    lines = derived(spark, sf, "description_lines").select("doc_id", "line_no", F.expr("trim(line)").alias("line"))
+    marked = F.when((F.col("line") == "") | F.col("line").startswith("#"), F.col("line")).otherwise(
+        F.format_string("  %d:%d %s ", F.col("doc_id"), F.col("line_no").cast("bigint"), F.col("line"))
+    )
+    folder = scratch_path(spark, "descriptions")
+    lines.select(marked.alias("value")).write.text(folder)
+    return S.read_descriptions(spark, folder).select("description")
+
+
+def first_descriptions(spark: SparkSession, sf: str) -> DataFrame:
+    """The first hundred descriptions of each file; a file holds one nation's customers."""
+    folder = scratch_path(spark, "batches")
+    people = table(spark, sf, "customer").select("c_nationkey", "c_custkey", F.concat_ws(" ", "c_name", "c_mktsegment").alias("value"))
+    people.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").drop("c_custkey").write.partitionBy("c_nationkey").text(folder)
+    found = S.read_descriptions(spark, f"{folder}/c_nationkey=*", limit=100)
+    return found.select(F.regexp_extract("path", "c_nationkey=([0-9]+)", 1).cast("bigint").alias("c_nationkey"), F.col("line_no").cast("bigint").alias("line_no"), "description")
+
+
 def batch_items(spark: SparkSession, sf: str) -> DataFrame:
     return _items(spark, sf)
 
@@ -206,7 +226,7 @@ QUERIES = {
     for f in (
         route_requests, request_key, request_key_of_arrays, throttle, ttl_dedup, ttl_per_request, request_cost, cost_by_model, usage_report, rpm_report,
         resolve_fallback, fallback_attempts, access_check, access_check_strict, read_audit, write_audit, model_catalog,
-        model_catalog_no_rules, purge_responses, read_descriptions, batch_items, batch_summary, session_history, recent_sessions,
+        model_catalog_no_rules, purge_responses, read_descriptions, read_description_files, first_descriptions, batch_items, batch_summary, session_history, recent_sessions,
     )
 }
 
@@ -312,3 +332,8 @@ ORACLE = {
 }
 
 ORACLE["request_key_of_arrays"] = ORACLE["request_key"]
+
+ORACLE["read_description_files"] = f"""{with_tables('description_lines')} SELECT concat(doc_id, ':', line_no, ' ', line) AS description
+    FROM (SELECT doc_id, line_no, trim(line, ' ' || chr(9) || chr(13)) AS line FROM description_lines) WHERE line <> '' AND line NOT LIKE '#%'"""
+ORACLE["first_descriptions"] = """SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS line_no,
+    concat(c_name, ' ', c_mktsegment) AS description FROM customer QUALIFY line_no < 100"""

@@ -17,6 +17,7 @@ from typing import Any
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
@@ -151,17 +152,57 @@ def bind_tables(
     return views
 
 
-def write_step(df: DataFrame, target: str, mode: str, folder: str | None, partition_by: list[str] | None = None) -> None:
-    """Write one step result as parquet: to a catalog table, or below ``folder``."""
+def _switch(spark: SparkSession, staged: str, target: str) -> None:
+    """Put the folder ``staged`` in the place of ``target``, which stays whole until then."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    before = path(f"{target}.{uuid.uuid4().hex[:12]}.old")
+    there = files.exists(path(target))
+    if there and not files.rename(path(target), before):
+        raise FlowError(f"cannot replace {target}")
+    if not files.rename(path(staged), path(target)):
+        raise FlowError(f"cannot move {staged} to {target}; its rows before are in {before}")
+    if there:
+        files.delete(before, True)
+
+
+def write_step(
+    df: DataFrame, target: str, mode: str, folder: str | None, partition_by: list[str] | None = None, run_id: str | None = None
+) -> None:
+    """Write one step result as parquet: to a catalog table, or below ``folder``.
+
+    In a folder, REPLACE writes beside the target and then switches, so a step may read its
+    own target and a failed run leaves it as it was. With ``run_id``, appended rows are a
+    partition of that name, and appending the same run again replaces just that one.
+    """
     if mode not in WRITE_MODES:
         raise FlowError(f"unknown appendType {mode!r}")
-    writer = df.write.format("parquet").mode(WRITE_MODES[mode])
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    spark, keys = df.sparkSession, list(partition_by or [])
+    if run_id is not None:
+        df, keys = df.withColumn("run_id", F.lit(run_id)), ["run_id", *keys]
+    replace = WRITE_MODES[mode] == "overwrite"
     if folder is None:
-        writer.saveAsTable(target)
-    else:
-        writer.save(f"{folder.rstrip('/')}/{target}")
+        if run_id is None or replace or not spark.catalog.tableExists(target):
+            writer = df.write.format("parquet").mode(WRITE_MODES[mode])
+            (writer.partitionBy(*keys) if keys else writer).saveAsTable(target)
+        else:
+            # goes by place; the table's partition columns come last
+            names = ", ".join(f"`{c}`" for c in spark.table(target).columns if c != "run_id")
+            own = run_id.replace("\\", "\\\\").replace("'", "\\'")
+            parts = ", ".join([f"run_id = '{own}'", *[f"`{k}`" for k in keys[1:]]])
+            spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION ({parts}) SELECT {names} FROM {{rows}}", rows=df)
+        return
+    path = f"{folder.rstrip('/')}/{target}"
+    if replace:
+        staged = f"{folder.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+        writer = df.write.format("parquet")
+        (writer.partitionBy(*keys) if keys else writer).save(staged)
+        _switch(spark, staged, path)
+        return
+    writer = df.write.format("parquet").mode("append")
+    if run_id is not None:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (writer.partitionBy(*keys) if keys else writer).save(path)
 
 
 def run_flow(
@@ -175,9 +216,13 @@ def run_flow(
     sink_folder: str | None = None,
     write: bool = False,
     cache: bool = False,
+    run_id: str | None = None,
 ) -> FlowRun:
     """Build (and with ``write`` also store) every enabled step of ``flow``.
 
+    ``run_id`` names the run: writing it again leaves the same rows, also in targets that are
+    appended to.
+
     ``cache`` keeps views that more than one later step reads; it is off by
     default because a kept view is a barrier to filter and column pushdown.
     """
@@ -217,7 +262,7 @@ def run_flow(
             except KeyError as e:
                 raise FlowError(f"no target for {e}") from None
             mode = step["output"].get("appendType", "REPLACE")
-            write_step(run.views[step["name"]], target, mode, sink_folder)
+            write_step(run.views[step["name"]], target, mode, sink_folder, run_id=run_id and f"{run_id}.{step['name']}")
             run.written.append((step["name"], target, mode))
     return run
 

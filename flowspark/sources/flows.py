@@ -17,25 +17,31 @@ def read_flows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parse_flows(files).drop("response", "json")
 
 
-def write_flows(documents: DataFrame, folder: str, description: str | None = None, file_per_flow: bool = False) -> None:
-    """Documents as JSON with their names made safe for paths.
-
-    By default one table of JSON lines with a ``safe_name`` column. With
-    ``file_per_flow`` each name has its folder, which suits a few flows, not a
-    corpus of millions.
+def write_flows(
+    documents: DataFrame, folder: str, description: str | None = None, file_per_flow: bool = False, batch: str = "flows"
+) -> None:
+    """Documents as JSON with their names made safe for paths, and with ``description`` the
+    column of that name beside them.
+
+    By default one table of JSON lines with a ``safe_name`` column; documents of another
+    ``batch`` stay, the same batch is replaced. With ``file_per_flow`` each name has its
+    folder, which suits a few flows, not a corpus of millions; a name that is written again
+    is replaced, others stay.
     """
     fields = [F.col("document.name").alias("name"), F.col("document.description").alias("description"), F.col("document.steps").alias("steps")]
     if description:
         fields.append(F.col(description).alias("business_description"))
     out = documents.select(F.concat(safe_name("document.name"), F.lit("_flow")).alias("safe_name"), *fields)
-    writer = out.write.mode("append")
-    (writer.partitionBy("safe_name") if file_per_flow else writer).json(folder)
+    if not file_per_flow:
+        out = out.withColumn("batch", F.lit(batch))
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("safe_name" if file_per_flow else "batch").json(folder)
 
 
 def read_written(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents stored by ``write_flows``, with their folder name."""
-    schema = T.StructType([*FLOW.fields, T.StructField("safe_name", T.StringType())])
-    return spark.read.schema(schema).json(folder)
+    """Documents stored by ``write_flows``: their fields, safe name and description (null where none was kept)."""
+    schema = T.StructType([*FLOW.fields, T.StructField("business_description", T.StringType()), T.StructField("safe_name", T.StringType())])
+    return spark.read.schema(schema).json(folder).drop("batch")
 
 
 def description_lines(files: DataFrame, text: Column | str = "value", *keys: str) -> DataFrame:

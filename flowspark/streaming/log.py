@@ -143,18 +143,30 @@ def run_available(stream: DataFrame, label: str, path: str | None = None) -> Dat
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def write_stream_step(stream: DataFrame, target: str, folder: str, label: str):
-    """Start appending a streamed step result to a parquet target, batch by batch.
+def write_stream_step(stream: DataFrame, target: str, folder: str, label: str, mode: str = "APPEND", **trigger):
+    """Start writing a streamed step result to a parquet target, batch by batch.
 
     Each micro-batch has its own subfolder and overwrites it, so a batch that is
-    repeated after a failure leaves no double rows.
+    repeated after a failure leaves no double rows. With ``mode`` REPLACE the target holds
+    the rows of the latest micro-batch that had any. ``trigger`` is passed on; by default
+    all that is there is taken.
     """
     path = f"{folder.rstrip('/')}/{target}"
 
     def store(batch: DataFrame, number: int) -> None:
+        if mode == "REPLACE" and batch.isEmpty():
+            return
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return (
-        stream.writeStream.foreachBatch(store).trigger(availableNow=True)
-        .option("checkpointLocation", f"{folder.rstrip('/')}/{label}-state").start()
-    )
+        if mode == "REPLACE":
+            spark = batch.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path
+            files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+            for found in files.listStatus(at(path)):
+                name = found.getPath().getName()
+                if name.startswith("batch=") and name != f"batch={number}":
+                    files.delete(found.getPath(), True)
+
+    if mode not in ("APPEND", "REPLACE"):
+        raise ValueError(f"unknown appendType {mode!r}")
+    writer = stream.writeStream.foreachBatch(store).trigger(**(trigger or {"availableNow": True}))
+    return writer.option("checkpointLocation", f"{folder.rstrip('/')}/{label}-state").start()

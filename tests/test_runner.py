@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from flowspark.catalog import flows
 from flowspark.catalog.derived import table
 from flowspark.catalog.flows import step
-from flowspark.plans.runner import FlowError, active_steps, bind_sql, dry_run, run_flow
+from flowspark.plans.runner import FlowError, active_steps, bind_sql, dry_run, run_flow, write_step
 
 
 def plan(df):
@@ -81,6 +81,36 @@ def test_replace_and_append(spark, sf, folder):
     assert spark.read.parquet(f"{folder}/PERIODS").count() == table(spark, sf, "orders").count()
 
 
+def test_a_rerun_leaves_the_same_rows(spark, sf, folder):
+    tables, cut = {"ORDERS": table(spark, sf, "orders")}, {"CUT": dt.date(1998, 1, 1)}
+    n = table(spark, sf, "orders").count()
+    late = {**flows.TWO_WRITES, "steps": [s for s in flows.TWO_WRITES["steps"] if s["name"] != "SAVE_EARLY"]}
+    n_late = table(spark, sf, "orders").filter("o_orderdate >= DATE'1998-01-01'").count()
+    for where in (folder, None):  # folder, and catalog table
+        read = (lambda: spark.read.parquet(f"{folder}/PERIODS")) if where else (lambda: spark.table("PERIODS"))
+        try:
+            for _ in range(2):
+                run_flow(spark, flows.TWO_WRITES, tables, cut, sink_folder=where, write=True, run_id="r1")
+            assert read().count() == n
+            for _ in range(2):
+                run_flow(spark, late, tables, cut, sink_folder=where, write=True, run_id="r2")
+            assert read().count() == n + n_late
+            assert {r[0] for r in read().select("run_id").distinct().collect()} == {"r1.SAVE_EARLY", "r1.SAVE_LATE", "r2.SAVE_LATE"}
+        finally:
+            if not where:
+                spark.sql("DROP TABLE IF EXISTS PERIODS")
+
+
+def test_a_step_may_read_its_own_target(spark, folder):
+    spark.range(5).write.parquet(f"{folder}/T")
+    doubled = spark.read.parquet(f"{folder}/T").selectExpr("id * 2 AS id")
+    write_step(doubled, "T", "REPLACE", folder)
+    assert sorted(r.id for r in spark.read.parquet(f"{folder}/T").collect()) == [0, 2, 4, 6, 8]
+    with pytest.raises(Exception, match="no such id"):
+        write_step(spark.read.parquet(f"{folder}/T").selectExpr("assert_true(id < 8, 'no such id') IS NULL AS id"), "T", "REPLACE", folder)
+    assert spark.read.parquet(f"{folder}/T").count() == 5
+
+
 def test_target_variable(spark, sf, folder):
     tables = {"PEOPLE": table(spark, sf, "customer"), "SALES": table(spark, sf, "orders")}
     params = {"AS_OF": flows.REFERENCE_DATE}

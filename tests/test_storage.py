@@ -9,6 +9,7 @@ from test_corpus import document
 
 from flowspark.catalog import requests as B
 from flowspark.catalog import streams as ST
+from flowspark.operators import corpus as C
 from flowspark.operators import ordered as O
 from flowspark.operators import requests as R
 from flowspark.sources import audit as A
@@ -36,6 +37,27 @@ def test_flows_round_trip(spark, folder):
         assert back.steps[0].createdDate["$date"] == "2026-05-15T01:44:25.911Z"
 
 
+def test_flows_written_again_replace_themselves(spark, folder):
+    docs = [{**document(), "name": n} for n in ("One", "Two")]
+    rows = C.parse_flows(spark.createDataFrame([(json.dumps(d), f"about {d['name']}") for d in docs], "response STRING, asked STRING"))
+    for file_per_flow in (False, True):
+        out = f"{folder}/{file_per_flow}"
+        for _ in range(2):
+            S.write_flows(rows, out, description="asked", file_per_flow=file_per_flow)
+        other = rows.filter("document.name = 'Two'")
+        S.write_flows(other, out, description="asked", file_per_flow=file_per_flow, batch="more")
+        found = [(r.name, r.business_description) for r in S.read_written(spark, out).collect()]
+        assert sorted(found) == [("One", "about One")] + [("Two", "about Two")] * (1 if file_per_flow else 2)
+
+
+def test_stream_step_obeys_the_write_mode(spark, folder):
+    schema = "tie long, key string"
+    stream = put_files(spark, f"{folder}/in", [[(1, "a"), (2, "b")], [(3, "c")]], schema)
+    for mode, want in (("APPEND", [1, 2, 3]), ("REPLACE", [3])):
+        L.write_stream_step(stream, mode, folder, mode, mode).awaitTermination()
+        assert sorted(r.tie for r in spark.read.parquet(f"{folder}/{mode}").collect()) == want
+
+
 def test_descriptions(spark, folder):
     put(folder, "d.txt", "first\n\n  # note\r\n  second  \n# other\nthird")
     rows = S.read_descriptions(spark, f"{folder}/d.txt").orderBy("line_no").collect()
