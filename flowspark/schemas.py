@@ -56,10 +56,10 @@ EVALUATION_LOOSE = (
 )
 
 COLUMN_META = (
-    "STRUCT<name: STRING, type: STRING, description: STRING, nullable: BOOLEAN, "
-    "is_key: BOOLEAN, partition_column: BOOLEAN>"
+    "STRUCT<name: VARIANT, type: VARIANT, description: VARIANT, nullable: VARIANT, "
+    "is_key: VARIANT, partition_column: VARIANT>"
 )
 TABLE_META = (
-    f"STRUCT<name: STRING, description: STRING, columns: ARRAY<{COLUMN_META}>, "
-    "partitioned_by: ARRAY<STRING>>"
+    f"STRUCT<name: VARIANT, description: VARIANT, columns: ARRAY<{COLUMN_META}>, "
+    "partitioned_by: ARRAY<VARIANT>>"
 )
