@@ -5,10 +5,11 @@ import pytest
 from flowspark import catalog
 
 # step functions, order within a key, and the DDL tokenizer
-PYTHON = {"flow_statement", "throttle", "ttl_dedup", "ddl_columns", "metadata_ddl", "metadata_by_ending", "build_prompts_ddl"}
+PYTHON = {"flow_statement", "throttle", "ttl_dedup", "ttl_per_request", "ddl_columns", "metadata_ddl", "metadata_by_ending", "build_prompts_ddl"}
 ONE_ROW_JOINS = {"cross_small", "model_catalog", "model_catalog_no_rules"}
 WRITERS = {n for n in catalog.queries() if n.startswith("stream_")} | {
-    "flow_replace_then_append", "write_audit", "recent_sessions", "stored_flows",
+    "flow_replace_then_append", "flow_rerun", "flow_shared_view", "write_audit", "recent_sessions", "stored_flows",
+    "read_description_files", "first_descriptions",
 }
 
 
