@@ -1 +1 @@
-"""Operators for preparing training data: ten of them, each in a module of its own."""
+"""Operators for preparing training data: thirteen of them, each in a module of its own."""

@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = [
     "mixing", "importance", "mtree", "sharding", "simple8b", "packing", "oddsketch", "linecrf", "bloomlm", "hosts", "convrepair",
-    "divergence", "bwtspans",
+    "bwtspans", "divergence",
 ]
 
 

@@ -7,7 +7,7 @@ from flowspark.llm import importance, linecrf, oddsketch
 from flowspark.llm.mixing import mix, word_count
 from flowspark.session import cut_lineage
 
-NUMBERS = range(1, 11)
+NUMBERS = range(1, 14)
 
 
 def test_registered():
