@@ -52,18 +52,18 @@ SELECT flow, pos, pos AS ord, flow_name, name,
        CASE WHEN flow % 5 = 0 THEN '' ELSE concat('step ', CAST(pos AS STRING)) END AS description,
        (flow + pos) % 19 <> 0 AS active,
        CASE (flow + pos) % 8
-         WHEN 0 THEN concat('SELECT c_custkey', chr(10), '     , c_name', chr(10), 'FROM ', '$', '{{{{TABLE_CUSTOMER}}}}', chr(10), 'WHERE c_custkey IS NOT NULL')
+         WHEN 0 THEN concat('SELECT c_custkey', chr(10), '     , c_name', chr(10), 'FROM ', '$', '{{{{CLIENT_ROWS}}}}', chr(10), 'WHERE c_custkey IS NOT NULL')
          WHEN 1 THEN concat('SELECT c_custkey', chr(10), 'FROM ', CASE WHEN flow % 3 = 0 THEN concat(view_prefix, last_name) ELSE src END, chr(10), 'WHERE c_custkey IS NOT NULL')
          WHEN 2 THEN concat('SELECT *', chr(10), 'FROM ', src)
-         WHEN 3 THEN concat('SELECT o_orderkey, o_custkey', chr(10), 'FROM warehouse.orders', chr(10), 'WHERE o_orderdate >= DATE_SUB(', '$', '[REFERENCE_DATE], 90)')
+         WHEN 3 THEN concat('SELECT o_orderkey, o_custkey', chr(10), 'FROM warehouse.orders', chr(10), 'WHERE o_orderdate >= DATE_SUB(', '$', '[AS_OF_DAY], 90)')
          WHEN 4 THEN concat('SELECT TRUNC(o_orderdate, ''MONTH'') AS order_month', chr(10), '     , SUM(o_totalprice) AS total', chr(10), 'FROM ', src, chr(10), 'GROUP BY TRUNC(o_orderdate, ''MONTH'')')
-         WHEN 5 THEN concat('SELECT /*+ BROADCAST(n) */ c.c_custkey', chr(10), 'FROM ', src, ' c', chr(10), 'JOIN ', '$', '{{{{TABLE_CUSTOMER}}}}', ' n', chr(10), '  ON c.c_custkey = n.c_custkey')
-         WHEN 6 THEN concat('SELECT a.c_custkey', chr(10), 'FROM ', src, ' a', chr(10), 'LEFT JOIN ', '$', '{{{{TABLE_ORDERS}}}}', ' b', chr(10), '  ON a.c_custkey = b.o_custkey', chr(10), 'WHERE b.o_custkey IS NULL')
+         WHEN 5 THEN concat('SELECT /*+ BROADCAST(n) */ c.c_custkey', chr(10), 'FROM ', src, ' c', chr(10), 'JOIN ', '$', '{{{{CLIENT_ROWS}}}}', ' n', chr(10), '  ON c.c_custkey = n.c_custkey')
+         WHEN 6 THEN concat('SELECT a.c_custkey', chr(10), 'FROM ', src, ' a', chr(10), 'LEFT JOIN ', '$', '{{{{ORDER_ROWS}}}}', ' b', chr(10), '  ON a.c_custkey = b.o_custkey', chr(10), 'WHERE b.o_custkey IS NULL')
          ELSE concat('select c_custkey, sum(coalesce(c_acctbal, 0)) as total from ', src, ' where c_acctbal is not null group by c_custkey')
        END AS sql_text
 FROM (
   SELECT e.*,
-         CASE WHEN base_parent IS NULL THEN concat('$', '{{{{TABLE_ORDERS}}}}') ELSE concat(view_prefix, base_parent) END AS src
+         CASE WHEN base_parent IS NULL THEN concat('$', '{{{{ORDER_ROWS}}}}') ELSE concat(view_prefix, base_parent) END AS src
   FROM (
     SELECT n.*,
            CASE WHEN flow % 7 = 0 AND pos > first_pos THEN first_name

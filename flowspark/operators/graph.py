@@ -176,12 +176,13 @@ def optimize_flows(documents: DataFrame, steps: DataFrame) -> DataFrame:
     ).drop("orders")
 
 
+# Fixed value: the sentence of the suggestion.
+FAN_OUT_TEXT = "Step '%s' feeds %d downstream steps. Consider splitting into intermediate temp views to enable more parallel execution of dependent branches."
+
+
 def fan_out(steps: DataFrame, threshold: int = 3) -> DataFrame:
     """Steps with more than ``threshold`` distinct children."""
-    detail = F.format_string(
-        "Step '%s' feeds %d downstream steps. Consider splitting into intermediate temp views to "
-        "enable more parallel execution of dependent branches.", F.col("parent"), F.col("children"),
-    )
+    detail = F.format_string(FAN_OUT_TEXT, F.col("parent"), F.col("children"))
     return (
         edges(steps).filter("known").groupBy("flow", "parent").agg(F.count("*").alias("children"))
         .filter(F.col("children") > threshold)
