@@ -44,6 +44,21 @@ def test_odd_vectors(spark):
     assert search(spark, [], every=10) == []
 
 
+def test_wide_vectors(spark):
+    """Components whose products pass 2^53 or 64 bits, beside plain ones."""
+    table = [
+        (0, [0.5, 0.25]), (1, [1e10, 1.0]), (2, [1e7, -3.0]), (10, [1e10, 3.0]), (20, [-1e7, 2.5]), (3, [0.25, 0.125]), (30, [1e5, 1e5]), (4, [1e5, -2.0]), (5, [3e38, 3e38]),
+        (40, [-3e38, 1.0]), (6, [1e10]),
+    ]
+    table = [(i, [float(np.float32(x)) for x in v]) for i, v in table]
+    low, high = -(1 << 63), (1 << 63) - 1
+    want = []
+    for q, v in ((i, [math.floor(x * 256) for x in v]) for i, v in table if i % 10 == 0):
+        scores = [(-min(high, max(low, sum(a * math.floor(b * 256) for a, b in zip(v, w)))), c) for c, w in table if c != q and len(w) == len(v)]
+        want += [(q, n + 1, c, -s) for n, (s, c) in enumerate(sorted(scores)[:4])]
+    assert search(spark, table, every=10, k=4) == sorted(want)
+
+
 @pytest.mark.parametrize("spread", [0.05, 1.0])
 def test_clusters_and_copies(spark, monkeypatch, spread):
     monkeypatch.setattr(mtree, "TREE_VECTORS", 300)
