@@ -1,6 +1,6 @@
 """URL filter by host reputation: rules first, then empirical-Bayes posteriors.
 
-Outcomes of labelled pages are counted by host. Beta-binomial priors pass down
+Outcomes of pages, given by id or judged from the pages' own text, are counted by host. Beta-binomial priors pass down
 from all pages to public suffix, registered domain and host: each level's prior
 has the mean of its parent's posterior and a strength estimated from how much the
 level's rates vary (method of moments). A host is allowed where the lower bound
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import without
+from flowspark.llm.common import WORDS, without
 from flowspark.session import cut_lineage
 
 #: (verdict, rule): host, then the start of the path. Fixed by the task.
@@ -30,6 +30,11 @@ RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
+#: Elements of a page that are not its text, and the marks that junk is full of.
+ASIDE = ("head", "script", "style", "nav", "header", "footer", "aside")
+MARKS = "#*$%&|<>"
+#: Fewest words of a good page, and most marks for a hundred words.
+LEAST_WORDS, MOST_MARKS = 50, 20
 OUTPUT = ["host", "path", "rule", "verdict", "bound"]
 
 
@@ -49,6 +54,34 @@ def _rest(url: str) -> Column:
     return F.when(at > 0, F.substr(F.col(url), at + 3)).otherwise("")
 
 
+def page_text(html: str = "html") -> Column:
+    """Text of a page: without comments, the elements ``ASIDE`` and tags; an escaped mark is one."""
+    text = F.regexp_replace(F.col(html), r"(?s)<!--.*?-->", " ")
+    for name in ASIDE:
+        text = F.regexp_replace(text, rf"(?s)<{name}[ >].*?</{name}>", " ")
+    return F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r"&(amp|lt|gt);", "&")
+
+
+def with_outcome(pages: DataFrame, name: str, html: str = "html") -> DataFrame:
+    """``pages`` with the outcome of each page: whether its text has at least ``LEAST_WORDS`` words, at most
+    ``MOST_MARKS`` marks for a hundred words, and fewer than half of its windows of three words are repeats of
+    others. A page without html has none (null)."""
+    words = F.regexp_extract_all("__page_text", F.lit(WORDS), 0)
+    n, at = F.size("__page_words"), F.arrays_zip(
+        F.col("__page_words").alias("a"), F.expr("slice(__page_words, 2, greatest(size(__page_words), 1))").alias("b"),
+        F.expr("slice(__page_words, 3, greatest(size(__page_words), 1))").alias("c"),
+    )
+    windows = F.transform(F.slice(at, 1, F.greatest(n - 2, F.lit(0))), lambda x: F.concat_ws(" ", x["a"], x["b"], x["c"]))
+    marks = F.length("__page_text") - F.length(F.translate("__page_text", MARKS, ""))
+    kept = [F.col(f"`{c}`") for c in pages.columns]
+    texts = pages.select(*kept, page_text(html).alias("__page_text"))
+    counted = texts.select(*kept, words.alias("__page_words"), marks.alias("__page_marks"))
+    good = (n >= LEAST_WORDS) & (100 * F.col("__page_marks") <= MOST_MARKS * n) & (
+        2 * F.size(F.array_distinct(windows)) > F.greatest(n - 2, F.lit(0))
+    )
+    return counted.select(*kept, F.when(F.col("__page_words").isNotNull(), good).alias(name))
+
+
 def registered_parts(host: Column, long_suffixes: Sequence[str] = ()) -> tuple[Column, Column]:
     """(registered domain, suffix). The suffix is the last label, or one of
     ``long_suffixes`` (such as ``co.uk``); the domain has one label more."""
@@ -113,12 +146,13 @@ def reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = RULES, threshold: float = 0.6,
-    z: float = 1.645, long_suffixes: Sequence[str] = (), url: str = "url",
+    pages: DataFrame, labels: DataFrame | None = None, rules: Sequence[tuple[str, str]] = RULES, threshold: float = 0.6,
+    z: float = 1.645, long_suffixes: Sequence[str] = (), url: str = "url", html: str = "html",
 ) -> DataFrame:
     """``pages`` with host, path, rule, verdict and bound.
 
-    ``labels`` holds (page_id, good); rows with a null in either count for nothing,
+    Without ``labels`` each page's outcome is that of its own text (``with_outcome``), and no page is
+    looked up anywhere. ``labels`` holds (page_id, good); rows with a null in either count for nothing,
     repeated rows count each. Null URLs and such without ``://`` have empty host and
     path and share the reputation of the empty host. Without any labels the prior
     mean is one half, and the bound of every host is below it. Columns of pages named as
@@ -126,14 +160,17 @@ def judge(
     """
     base = without(pages, OUTPUT)
     with_host = base.withColumns({"host": host_of(url), "path": path_of(url)})
-    outcomes = labels.filter("page_id IS NOT NULL AND good IS NOT NULL").groupBy("page_id").agg(
-        F.sum(F.col("good").cast("long")).alias("good"), F.count("*").alias("n")
-    )
     domain, suffix = registered_parts(F.col("host"), long_suffixes)
+    if labels is None:
+        judged = with_outcome(base.select(host_of(url).alias("host"), F.col(f"`{html}`").alias("html")), "ok")
+        rows = judged.select("host", F.col("ok").cast("long").alias("good"), F.when(F.col("ok").isNotNull(), 1).cast("long").alias("n"))
+    else:
+        outcomes = labels.filter("page_id IS NOT NULL AND good IS NOT NULL").groupBy("page_id").agg(
+            F.sum(F.col("good").cast("long")).alias("good"), F.count("*").alias("n")
+        )
+        rows = base.select("page_id", host_of(url).alias("host")).join(outcomes, "page_id", "left")
     hosts = cut_lineage(
-        base.select("page_id", host_of(url).alias("host"))
-        .join(outcomes, "page_id", "left")
-        .groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        rows.groupBy("host").agg(F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
         .withColumns({"domain": domain, "suffix": suffix})
     )
     bounds = cut_lineage(reputation(hosts, z))

@@ -1,16 +1,20 @@
 from pyspark.sql import DataFrame, SparkSession
 
-from flowspark.llm.hosts import judge
+from flowspark.llm.hosts import ASIDE, LEAST_WORDS, MARKS, MOST_MARKS, judge
 
 NAME = "op10_host_reputation"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").selectExpr(
-        "doc_id AS page_id", "quality = 1 AND toxic = 0 AS good"
-    )
-    return judge(pages, labels).select("page_id", "host", "path", "rule", "verdict")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _text(column: str) -> str:
+    out = f"regexp_replace({column}, '<!--.*?-->', ' ', 'gs')"
+    for name in ASIDE:
+        out = f"regexp_replace({out}, '<{name}[ >].*?</{name}>', ' ', 'gs')"
+    return f"regexp_replace(regexp_replace({out}, '<[^>]*>', ' ', 'g'), '&(amp|lt|gt);', '&', 'g')"
 
 
 _LEVEL = """
@@ -22,17 +26,21 @@ _LEVEL = """
 
 SQL = f"""
 WITH parsed AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 cut AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parsed),
+texts AS (SELECT host, {_text("html")} AS t FROM cut),
+words AS (
+  SELECT host, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, length(t) - length(translate(t, '{MARKS}', '')) AS marks FROM texts),
 outcomes AS (
-  SELECT doc_id AS page_id, sum(CASE WHEN quality = 1 AND toxic = 0 THEN 1 ELSE 0 END)::DOUBLE AS good, count(*)::DOUBLE AS n
-  FROM labels WHERE doc_id IS NOT NULL AND (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY doc_id),
+  SELECT host, CASE WHEN t IS NOT NULL THEN len(w) >= {LEAST_WORDS} AND 100 * marks <= {MOST_MARKS} * len(w)
+    AND 2 * len(list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])) > greatest(len(w) - 2, 0) END AS ok
+  FROM words),
 hosts AS (
   SELECT host, string_split(host, '.')[-1] AS suffix, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-         coalesce(sum(good), 0) AS good, coalesce(sum(n), 0) AS n
-  FROM cut LEFT JOIN outcomes USING (page_id) GROUP BY ALL),
+         coalesce(sum(ok::INTEGER), 0)::DOUBLE AS good, count(ok)::DOUBLE AS n
+  FROM outcomes GROUP BY ALL),
 suffix_own AS (
   SELECT suffix, sum(good) AS good, sum(n) AS n,
          (SELECT (coalesce(sum(good), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM hosts) AS prior FROM hosts GROUP BY suffix),

@@ -1,6 +1,6 @@
 from compare import oracle, rows
 
-from flowspark.llm.hosts import judge, registered_parts
+from flowspark.llm.hosts import judge, registered_parts, with_outcome
 from flowspark.llm.queries import hosts
 
 
@@ -49,3 +49,20 @@ def test_empty_tables_and_long_suffixes(spark):
 
     row = spark.createDataFrame([("a.b.co.uk",)], "h string").select(*registered_parts(F.col("h"), ["co.uk"])).first()
     assert tuple(row) == ("b.co.uk", "co.uk")
+
+
+def test_outcomes_come_from_the_pages(spark):
+    prose = " ".join(f"word{k}" for k in range(60))
+    cases = [
+        (f"<html><head><title>{'# ' * 90}</title></head><body><!-- {'$ ' * 90} --><nav>a > b</nav><p>{prose}</p></body>", True),
+        (f"<p>{' '.join(prose.split()[:49])}</p><script>var a = '{prose}';</script>", False), (f"<p>{prose}{' &amp;' * 20}</p>", False),
+        (f"<p>{prose}{' &amp;' * 15}</p>", True), (f"<p>{'buy cheap pills now ' * 40}</p>", False), (None, None), ("", False), (prose + " <p", True),
+    ]
+    table = spark.createDataFrame([(k, h, "x") for k, (h, _) in enumerate(cases)], "page_id long, html string, n string")
+    assert [r["ok"] for r in with_outcome(table, "ok").orderBy("page_id").collect()] == [ok for _, ok in cases]
+    pages = spark.createDataFrame(
+        [(k, f"http://{'good' if k % 2 else 'spam'}.net/{k}", f"<p>{prose if k % 2 else 'win now ' * 50}</p>") for k in range(80)] + [(80, None, None)],
+        "page_id long, url string, html string",
+    )
+    found = {r["host"]: r["verdict"] for r in judge(pages).collect()}
+    assert found["good.net"] == "allow" and found["spam.net"] == "block" and len(found) == 3
