@@ -3,25 +3,25 @@
 An item of level q is entered as (item, 1) to (item, q); its level is found again by
 probing level after level. All entries of an item lie in one segment, so a segment is
 built from the items that hash to it alone. With level 1 it is a plain Bloom filter.
+
+A filter of bounded size is collected and broadcast (``build_filter``). One that grows with
+the input stays a table of segments (``filter_table``), and items go to their segments (``probe``).
 """
 
 from __future__ import annotations
 
 import math
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowspark.llm.hashing import mix
 
 PROBES, BITS_PER_ENTRY = 6, 12
 SEGMENT_BITS = 1 << 19
-#: Most segments, or None for as many as the entries need; a bound raises the error rate, and counts with it.
-MAX_SEGMENTS: int | None = None
 
 
 class Filter:
@@ -57,17 +57,16 @@ class Filter:
 
 
 def segments_for(entries: int) -> int:
-    """The number of segments, a power of two; a warning gives the error rate where a bound is set and binds."""
-    wanted = 1 << (max(1, math.ceil(entries * BITS_PER_ENTRY / SEGMENT_BITS)) - 1).bit_length()
-    if MAX_SEGMENTS is None or wanted <= MAX_SEGMENTS:
-        return wanted
-    rate = (1 - math.exp(-PROBES * entries / (MAX_SEGMENTS * SEGMENT_BITS))) ** PROBES
-    warnings.warn(f"filter bounded to {MAX_SEGMENTS} of {wanted} segments: error rate {rate:.2%} per level", stacklevel=2)
-    return MAX_SEGMENTS
+    """The number of segments, a power of two."""
+    return 1 << (max(1, math.ceil(entries * BITS_PER_ENTRY / SEGMENT_BITS)) - 1).bit_length()
 
 
-def build_filter(items: DataFrame) -> Filter:
-    """The filter over stored (item, q)."""
+def _segment(segments: int) -> Column:
+    return F.shiftrightunsigned("item", 64 - (segments.bit_length() - 1)).cast("int") if segments > 1 else F.lit(0)
+
+
+def filter_table(items: DataFrame) -> tuple[DataFrame, int]:
+    """(segment, bits) of the filter over stored (item, q), and the number of segments; segments without items are missing."""
     entries, rows = items.agg(F.coalesce(F.sum("q"), F.lit(0)), F.count("*")).first()
     segments = segments_for(entries)
     shape = Filter(np.zeros(0, np.uint8), segments)
@@ -86,13 +85,32 @@ def build_filter(items: DataFrame) -> Filter:
         return pd.DataFrame({"segment": [key[0]], "bits": [every.tobytes()]})
 
     schema = "segment int, bits binary"
-    segment = F.shiftrightunsigned("item", 64 - (segments.bit_length() - 1)).cast("int") if segments > 1 else F.lit(0)
-    built = items.withColumns({"segment": segment, "part": F.pmod(F.xxhash64("item"), F.lit(parts))}).groupBy(
+    built = items.withColumns({"segment": _segment(segments), "part": F.pmod(F.xxhash64("item"), F.lit(parts))}).groupBy(
         "segment", "part"
     ).applyInPandas(lambda key, rows: build(key, rows), schema)
     if parts > 1:
         built = built.groupBy("segment").applyInPandas(merged, schema)
+    return built, segments
+
+
+def build_filter(items: DataFrame) -> Filter:
+    """The filter over stored (item, q), collected; for items of bounded number."""
+    built, segments = filter_table(items)
     bits = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
     for row in built.toLocalIterator():
         bits[row["segment"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return Filter(bits.ravel(), segments)
+
+
+def probe(rows: DataFrame, table: DataFrame, segments: int) -> DataFrame:
+    """``rows`` with q, the level of their ``item``; a task holds one segment and the rows that ask it."""
+
+    def look(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        q = np.zeros(len(rows), np.int32)
+        if len(rows) and len(held):
+            bits = Filter(np.frombuffer(bytes(held["bits"].iloc[0]), np.uint8), 1)
+            q[:] = bits.levels(rows["item"].to_numpy().view(np.uint64))
+        return rows.drop(columns="segment").assign(q=q)
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + ", q int"
+    return rows.withColumn("segment", _segment(segments)).groupBy("segment").cogroup(table.groupBy("segment")).applyInPandas(look, schema)
