@@ -86,6 +86,13 @@ def test_filter_grows_with_its_entries():
         assert bloom.segments_for(entries) * bloom.SEGMENT_BITS >= entries * bloom.BITS_PER_ENTRY
 
 
+def test_most_frequent(spark):
+    table = spark.createDataFrame([(bytes([k]), c) for k, c in enumerate([1, 9, 9, 5, 1, 700, 2, 1])], "word binary, c long")
+    kept = lambda limit: sorted(r["c"] for r in bloomlm.most_frequent(table, limit).collect())
+    assert kept(8) == [1, 1, 1, 2, 5, 9, 9, 700] and kept(7) == kept(5) == [2, 5, 9, 9, 700]
+    assert kept(2) == [700] and kept(0) == [] and bloomlm.most_frequent(table.limit(0), 3).count() == 0
+
+
 def test_levels():
     c = np.arange(1, 3000)
     q = bloomlm.level(c)
