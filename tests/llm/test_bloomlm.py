@@ -42,6 +42,8 @@ def test_documents(docs, monkeypatch, head):
 
 def test_rare_words_score_alike_broadcast_or_by_segments(spark, docs, monkeypatch):
     monkeypatch.setattr(bloomlm, "CLASSES", 40)
+    # which word pairs are in the model depends on which words are frequent, so this is about words alone
+    monkeypatch.setattr(bloomlm, "HEAD_PAIRS", 0)
     scores = [
         {r["doc_id"]: r["score"] for r in bloomlm.score(docs, head_words=head, keep=["doc_id"]).collect()} for head in (200_000, 50)
     ]
@@ -113,7 +115,8 @@ def test_probabilities_sum_to_one():
             return np.array([bloomlm.level(held[int(x)]) if int(x) in held else 0 for x in item], np.int64)
 
     rare = sum(c for w, c in counts.items() if w not in ("a", "b"))
-    scorer = bloomlm.WordScorer(Exact(), (np.zeros(0, np.uint64), np.zeros(0)), known, rare, 1)
+    none = bloomlm.PairModel(1, np.zeros(1), np.ones(1))
+    scorer = bloomlm.WordScorer(Exact(), (np.zeros(0, np.uint64), np.zeros(0)), known, rare, 1, none)
     assert (10**scorer.pair_log).sum(axis=1) == pytest.approx(np.ones(4))
     scorer.value = {}
     scorer.value = np.arange(128)
@@ -124,3 +127,64 @@ def test_probabilities_sum_to_one():
     place = scorer.places(piece)
     own = {w: 10 ** scorer.log_p[p] for w, p in zip(text.split(), place) if w not in ("a", "b")}
     assert sum(own.values()) + scorer.unseen == pytest.approx(1)
+
+
+def neighbours(tokens, frequent):
+    """Pairs of neighbours that are frequent words or the boundary (None)."""
+    around = [None, *tokens, None]
+    return [(a, b) for a, b in zip(around, around[1:]) if (a is None or a in frequent) and (b is None or b in frequent)]
+
+
+def test_word_pairs_are_those_of_plain_python(spark, docs, monkeypatch):
+    texts = [words(r["text"], lower=True) for r in docs.select("text").collect()]
+    frequent = {w for w, _ in Counter(x for t in texts for x in t).most_common(300)}
+    expected = Counter(p for t in texts for p in neighbours(t, frequent))
+    number = {None: 0}
+    hashes = {w: next(pieces(pa.array([w.decode() if isinstance(w, bytes) else w]))).word_hashes()[0] for w in frequent}
+    head = np.sort(np.array(list(hashes.values()), np.uint64))
+    number |= {w: int(np.searchsorted(head, h)) + 1 for w, h in hashes.items()}
+    for fold in (1 << 22, 100):
+        monkeypatch.setattr(bloomlm, "FOLD_PAIRS", fold)
+        got = {r["pair"]: r["c"] for r in bloomlm.word_pair_counts(docs, head).collect()}
+        assert got == {number[a] << 32 | number[b]: c for (a, b), c in expected.items()}
+
+
+def test_word_pairs_score_as_in_plain_python(spark):
+    """Each factor of a small corpus from the counts themselves, and what follows a word sums to one."""
+    text = "a b a b a c d a b e a c " * 30
+    tokens = text.split()
+    hashes = {w: next(pieces(pa.array([w]))).word_hashes()[0] for w in set(tokens)}
+    head = np.sort(np.array(list(hashes.values()), np.uint64))
+    number = {w: int(np.searchsorted(head, h)) + 1 for w, h in hashes.items()} | {None: 0}
+    counts, seen = Counter(tokens), Counter(neighbours(tokens, set(tokens)))
+    table = spark.createDataFrame([(number[a] << 32 | number[b], c) for (a, b), c in seen.items()], "pair long, c long")
+    by_number = np.zeros(len(head) + 1)
+    for w in counts:
+        by_number[number[w]] = counts[w]
+    by_number[0] = 1
+    model = bloomlm.pair_model(table, by_number)
+    bits = bloom.build_filter(bloomlm.leveled(bloomlm.pair_items(table)))
+    scorer = bloomlm.WordScorer(bits, (head, by_number[1:]), np.zeros(0, np.uint64), 1, 1, model)
+    value = bloomlm.level_values()
+    back = np.log10(np.full(len(number), 1 / len(number)))
+    every = np.array(sorted(number.values()))
+    for a, first in number.items():
+        got = 10 ** scorer.after(np.full(len(every), first), every, back)
+        after = {number[b]: value[bloomlm.level(c)] for (x, b), c in seen.items() if x == a}
+        total = max(sum(after.values()), by_number[first]) + bloomlm.BACK_OFF
+        rest = (total - sum(after.values())) / len(every)
+        assert got == pytest.approx([(after.get(s, 0) + rest) / total for s in every])
+        assert got.sum() == pytest.approx(1)
+    # a word that is not frequent gets the back-off's share alone, and nothing is known after one
+    assert scorer.after(np.array([-1]), np.array([1]), np.array([-2.0])) == pytest.approx([-2.0])
+    first = number["a"]
+    left = (model.total[first] - model.kept[first]) / model.total[first]
+    assert 10 ** scorer.after(np.array([first]), np.array([-1]), np.array([0.0])) == pytest.approx([left])
+
+
+def test_word_pairs_help(spark, monkeypatch):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    told = lambda: bloomlm.score(table, keep=["doc_id"]).filter("held_out").selectExpr("sum(score) / sum(n_tokens) AS s").first()["s"]
+    whole = told()
+    monkeypatch.setattr(bloomlm, "HEAD_PAIRS", 0)
+    assert whole > told() + 0.3
