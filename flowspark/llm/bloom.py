@@ -42,17 +42,31 @@ class Filter:
         for k in range(PROBES):
             yield ((h + np.uint64(k) * step) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
 
-    def levels(self, item: np.ndarray) -> np.ndarray:
+    def _held(self, item: np.ndarray, q: int) -> np.ndarray:
+        """Places in ``item`` whose entry of level ``q`` is there; once a quarter has failed, only the others are probed on."""
+        at, base = np.arange(len(item)), self.segment(item) * (SEGMENT_BITS // 8)
+        h = mix(item + np.uint64(q * 0x9E3779B97F4A7C15 % (1 << 64)))
+        step = (h >> np.uint64(32)) | np.uint64(1)
+        there = np.ones(len(at), bool)
+        for k in range(PROBES):
+            bit = ((h + np.uint64(k) * step) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64)
+            there &= (self.bits[base + (bit >> 3)] >> (bit & 7).astype(np.uint8)) & 1 == 1
+            if k + 1 < PROBES and 4 * np.count_nonzero(there) < 3 * len(there):
+                at, base, h, step = (x[there] for x in (at, base, h, step))
+                there = np.ones(len(at), bool)
+        return at[there]
+
+    def levels(self, item: np.ndarray, least: int = 1) -> np.ndarray:
+        """Level of each item, 0 where it is not there. Where all items of a kind have at least level ``least``, the levels
+        between 1 and that one need no probes."""
         out = np.zeros(len(item), np.int64)
-        base = self.segment(item) * (SEGMENT_BITS // 8)
-        alive, q = np.arange(len(item)), 1
-        while len(alive) and q < 127:
-            there = np.ones(len(alive), bool)
-            for at in self.places(item[alive], q):
-                there &= (self.bits[base[alive] + (at >> 3)] >> (at & 7).astype(np.uint8)) & 1 == 1
-            alive = alive[there]
-            out[alive] = q
-            q += 1
+        alive = np.arange(len(item))
+        for q in (1, *range(max(2, least), 127)):
+            alive = alive[self._held(item[alive], q)]
+            if not len(alive):
+                break
+            if q >= least:
+                out[alive] = q
         return out
 
 

@@ -74,6 +74,10 @@ def test_filter_never_underestimates(spark):
     got = built.levels(item.view(np.uint64))
     assert (got >= q).all() and (got > q).mean() < 0.03
     assert (built.levels(r.integers(1 << 62, (1 << 63) - 1, 20_000).view(np.uint64)) > 0).mean() < 0.03
+    # items that all have some level at least need no probes below it, and what is there for no level is not found
+    high = q >= 5
+    assert (built.levels(item[high].view(np.uint64), 5) == got[high]).all()
+    assert (built.levels(r.integers(1 << 62, (1 << 63) - 1, 20_000).view(np.uint64), 5) > 0).mean() < 1e-3
     # the table of segments says the same
     bits, segments = bloom.filter_table(table)
     asked = spark.createDataFrame([(k, int(x)) for k, x in enumerate([*item, *r.integers(1 << 62, (1 << 63) - 1, 500)])], "k int, item long")
