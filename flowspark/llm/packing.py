@@ -7,11 +7,13 @@ than it needs, so groups of this size cost less than one sequence in ten thousan
 and none grows with the input.
 
 Within a group, best fit places the longest piece first. The search then takes the
-emptiest sequence again and again and tries to empty it: a piece moves into a gap
-elsewhere, or goes to a sequence in exchange for one shorter piece, or for two
-shorter ones, wherever that sequence becomes fuller by it. Every step raises the sum
-of squared fills, as what is taken back is less than what was given to a sequence
-that was no emptier. Sequences that become empty vanish.
+sequences from the emptiest on and tries to empty each: a piece moves into a gap
+elsewhere, or goes to a sequence in exchange for one shorter piece or for two together
+shorter ones, or two pieces go for one, wherever that sequence becomes fuller by it. Every
+step raises the sum of squared fills, as what is taken back is less than what was given to
+a sequence that was no emptier. Sequences that become empty vanish. Sequences are filed by
+their gap and by the lengths, and sums of two lengths, that they hold, so a partner is found
+if there is one. The search ends when no step is left, or no fewer sequences can hold the pieces.
 """
 
 from __future__ import annotations
@@ -76,6 +78,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     return docs.select("doc_id", "text").mapInArrow(cut, kinds)
 
 
+def sums_of_two(lengths: list[int]) -> set[int]:
+    """Sums of two of the sorted ``lengths``."""
+    different = sorted(set(lengths))
+    sums = {x + y for k, x in enumerate(different) for y in different[k + 1 :]}
+    return sums | {2 * x for x, y in zip(lengths, lengths[1:]) if x == y}
+
+
 class Bins:
     """Sequences of a group, found by their gap and by the lengths they hold."""
 
@@ -85,9 +94,36 @@ class Bins:
         self.fill: list[int] = []
         self.by_gap: list[set[int]] = [set() for _ in range(capacity + 1)]
         self.gaps = 0  # bit g is set where a bin with gap g exists
+        # per gap: bins by a length that they hold, by a sum of two, and those as bits; filled by :meth:`file`
+        self.single: list[dict[int, set[int]]] | None = None
+        self.double: list[dict[int, set[int]]] = []
+        self.single_bits, self.double_bits = [0] * (capacity + 1), [0] * (capacity + 1)
+
+    def file(self) -> None:
+        """File all bins by what they hold, from now on."""
+        self.single, self.double = [{} for _ in range(self.capacity + 1)], [{} for _ in range(self.capacity + 1)]
+        for b in range(len(self.fill)):
+            self._filed(b, True)
+
+    @staticmethod
+    def _entered(found: dict[int, set[int]], bits: int, keys: list[int] | set[int], b: int, on: bool) -> int:
+        for key in keys:
+            if on:
+                found.setdefault(key, set()).add(b)
+                bits |= 1 << key
+            else:
+                found[key].discard(b)
+                if not found[key]:
+                    del found[key]
+                    bits &= ~(1 << key)
+        return bits
 
     def _filed(self, b: int, on: bool) -> None:
         gap = self.capacity - self.fill[b]
+        if self.single is not None and gap and self.items[b]:
+            held = self.lengths(b)
+            self.single_bits[gap] = self._entered(self.single[gap], self.single_bits[gap], set(held), b, on)
+            self.double_bits[gap] = self._entered(self.double[gap], self.double_bits[gap], sums_of_two(held), b, on)
         (self.by_gap[gap].add if on else self.by_gap[gap].discard)(b)
         if self.by_gap[gap]:
             self.gaps |= 1 << gap
@@ -100,6 +136,28 @@ class Bins:
         self._filed(len(self.fill) - 1, True)
         return len(self.fill) - 1
 
+    def lengths(self, b: int) -> list[int]:
+        return [length for length, _ in self.items[b]]
+
+    def partner(self, a: int, length: int, two: bool = True) -> int | None:
+        """A bin no emptier than ``a`` that becomes fuller by ``length`` for one of its pieces, or with ``two`` for two."""
+        gaps = self.gaps & ((2 << (self.capacity - self.fill[a])) - 1) & ~1
+        while gaps:
+            gap = (gaps & -gaps).bit_length() - 1
+            low = max(1, length - gap)
+            window = ((1 << length) - 1) >> low << low
+            for bits, found in ((self.single_bits[gap], self.single[gap]), (self.double_bits[gap] if two else 0, self.double[gap])):
+                bits &= window
+                while bits:
+                    held = found[(bits & -bits).bit_length() - 1]
+                    if len(held) > 1 or a not in held:
+                        first = iter(held)
+                        b = next(first)
+                        return next(first) if b == a else b
+                    bits &= bits - 1
+            gaps &= gaps - 1
+        return None
+
     def put(self, b: int, item: tuple[int, int]) -> None:
         self._filed(b, False)
         insort(self.items[b], item)
@@ -154,57 +212,75 @@ def _exchange(bins: Bins, a: int, item: tuple[int, int], b: int) -> bool:
         if best is None:
             return False
         back = [held[best[1]], held[best[2]]]
-    bins.take(a, item)
+    _swap(bins, a, [item], b, back)
+    return True
+
+
+def _swap(bins: Bins, a: int, given: list[tuple[int, int]], b: int, back: list[tuple[int, int]]) -> None:
+    for x in given:
+        bins.take(a, x)
     for x in back:
         bins.take(b, x)
-    bins.put(b, item)
+    for x in given:
+        bins.put(b, x)
     for x in back:
         bins.put(a, x)
-    return True
-
 
-def improve(bins: Bins, tries: int = 64, patience: int = 200) -> Bins:
-    """Empty the emptiest bins by moves and exchanges.
 
-    A bin that no step helps is set aside; ``patience`` bins set aside in a row end
-    the search. For each piece the ``tries`` fullest bins with a gap are looked at for
-    an exchange. Both bound the effort only; all pieces stay packed.
-    """
-    aside: set[int] = set()
-    failed = 0
-    while failed < patience:
-        a = None
-        rest = bins.gaps & ((1 << bins.capacity) - 1)
-        while rest and a is None:
-            top = rest.bit_length() - 1
-            a = min((b for b in bins.by_gap[top] if b not in aside and bins.items[b]), default=None)
-            rest &= ~(1 << top)
-        if a is None or bins.fill[a] >= bins.capacity:
-            break
-        stepped = False
-        for item in reversed(list(bins.items[a])):
-            b = bins.tightest(item[0], but=a)
-            if b is not None and bins.fill[b] > bins.fill[a] - item[0]:
-                bins.take(a, item)
-                bins.put(b, item)
-                stepped = True
-                break
-            looked, gaps = 0, bins.gaps & ~1
-            while gaps and looked < tries and not stepped:
-                gap = (gaps & -gaps).bit_length() - 1
-                for b in sorted(bins.by_gap[gap])[:8]:
-                    looked += 1
-                    if b != a and bins.items[b] and bins.fill[b] >= bins.fill[a] and _exchange(bins, a, item, b):
-                        stepped = True
-                        break
-                gaps &= gaps - 1
-            if stepped:
-                break
-        if stepped:
-            failed = 0
+def _step(bins: Bins, a: int) -> bool:
+    """Move or exchange something out of bin a, if any step raises the sum of squared fills."""
+    held = bins.items[a]
+    # pieces of one length are alike
+    for item in reversed([x for k, x in enumerate(held) if k == 0 or held[k - 1][0] < x[0]]):
+        b = bins.tightest(item[0], but=a)
+        if b is not None and bins.fill[b] > bins.fill[a] - item[0]:
+            _swap(bins, a, [item], b, [])
+            return True
+        b = bins.partner(a, item[0])
+        if b is not None:
+            return _exchange(bins, a, item, b)
+    for total in sorted(sums_of_two(bins.lengths(a)), reverse=True):
+        b = bins.partner(a, total, two=False)
+        if b is not None:
+            left, right = _pair(held, total)
+            shortest = bins.items[b][bisect_left(bins.items[b], (total - bins.capacity + bins.fill[b], -1))]
+            _swap(bins, a, [left, right], b, [shortest])
+            return True
+    return False
+
+
+def _pair(held: list[tuple[int, int]], total: int) -> tuple[tuple[int, int], tuple[int, int]]:
+    """Two of the sorted pieces that are ``total`` long together."""
+    left, right = 0, len(held) - 1
+    while held[left][0] + held[right][0] != total:
+        if held[left][0] + held[right][0] < total:
+            left += 1
         else:
-            aside.add(a)
-            failed += 1
+            right -= 1
+    return held[left], held[right]
+
+
+def improve(bins: Bins) -> Bins:
+    """Empty bins by moves and exchanges, from the emptiest on, until none has a step left or they are as few
+    as the sum of all lengths allows."""
+    least = -(-sum(bins.fill) // bins.capacity)
+    used = sum(1 for items in bins.items if items)
+    bins.file()
+    stepped = True
+    while stepped and used > least:
+        stepped, stuck = False, set()
+        for a in sorted((b for b, items in enumerate(bins.items) if items), key=lambda b: (bins.fill[b], b)):
+            while bins.items[a] and used > least:
+                # bins that hold the same lengths are stuck together
+                held = tuple(bins.lengths(a))
+                if held in stuck:
+                    break
+                if not _step(bins, a):
+                    stuck.add(held)
+                    break
+                stepped = True
+                stuck.clear()
+            used -= not bins.items[a]
     return bins
 
 

@@ -174,3 +174,49 @@ def test_exchanges():
     assert sorted(n for n, _ in bins.items[2]) == [1, 2, 7] and bins.fill == [7, 10, 10]
 
 
+
+
+def test_search_finds_exchanges_between_unlike_sequences():
+    lengths = [1100] * 2000 + [600] * 3000 + [500] * 2500 + [348] * 3000
+    sequence, _ = packing.pack_lengths(lengths, 2048)
+    # 2,000 of 1100 + 600 + 348, 1,000 of 600 + 500 + 500 + 348 and 125 of 4 x 500
+    assert len(set(sequence.tolist())) <= 3125 and np.bincount(sequence, lengths).max() <= 2048
+
+
+def test_partners_are_those_of_a_full_look():
+    """The files agree with a look at every sequence, before and after steps; a search ends only when none is left."""
+    r = np.random.default_rng(3)
+    for turn in range(30):
+        capacity = int(r.integers(12, 60))
+        bins = packing.best_fit(r.integers(1, capacity, int(r.integers(2, 40))).tolist(), capacity)
+        bins.file()
+
+        def looked(a, length, two):
+            for b, held in enumerate(bins.items):
+                gap = capacity - bins.fill[b]
+                if b == a or not held or gap == 0 or bins.fill[b] < bins.fill[a]:
+                    continue
+                sums = [x for x, _ in held]
+                if two:
+                    sums += [x[0] + y[0] for k, x in enumerate(held) for y in held[k + 1 :]]
+                if any(length - gap <= s < length for s in sums):
+                    return True
+            return False
+
+        for a in range(len(bins.items)):
+            for length in range(1, capacity):
+                for two in (True, False):
+                    b = bins.partner(a, length, two)
+                    assert (b is not None) == looked(a, length, two) and b != a
+        before = sum(f * f for f in bins.fill)
+        pieces = sorted(x for held in bins.items for x in held)
+        for a in range(len(bins.items)):
+            if bins.items[a] and packing._step(bins, a):
+                now = sum(f * f for f in bins.fill)
+                assert now > before
+                before = now
+        assert sorted(x for held in bins.items for x in held) == pieces
+        assert all(f == sum(x for x, _ in held) <= capacity for f, held in zip(bins.fill, bins.items))
+        packing.improve(bins)
+        fewest = -(-sum(bins.fill) // capacity)
+        assert sum(map(bool, bins.items)) == fewest or not any(packing._step(bins, a) for a in range(len(bins.items)) if bins.items[a])
