@@ -21,21 +21,38 @@ from flowspark.session import cut_lineage
 
 OUTPUT = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 SLICE_ROWS = 256
+#: Slices whose sums meet in one task, and whose total goes on as one row.
+BLOCK_SLICES = 4096
+#: A text with at least one in so many of all rows is hot; so many texts can be at most.
+HOT_TEXTS = 1000
 
 
 def slices_of(rows: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(rows / SLICE_ROWS)).cast("long")
 
 
+def slice_starts(sums: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
+    """(keys, __slice, ``out``): the sum of ``value`` before each slice of a key, from (keys, __slice, ``value``).
+
+    In two levels: within blocks of slices, and over the totals of the blocks.
+    """
+    cut = sums.withColumn("__block", F.floor(F.col("__slice") / BLOCK_SLICES))
+    rows = (Window.unboundedPreceding, -1)
+    totals = cut.groupBy(*keys, "__block").agg(F.sum(value).alias("__total"))
+    before = F.coalesce(F.sum("__total").over(Window.partitionBy(*keys).orderBy("__block").rowsBetween(*rows)), F.lit(0))
+    inside = F.coalesce(F.sum(value).over(Window.partitionBy(*keys, "__block").orderBy("__slice").rowsBetween(*rows)), F.lit(0))
+    return cut.withColumn("__in_block", inside).join(totals.withColumn("__before", before), [*keys, "__block"]).select(
+        *keys, "__slice", (F.col("__before") + F.col("__in_block")).alias(out)
+    )
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:
     """Add ``out``: 0, 1, ... within ``keys``, by the column ``__slice`` and then ``order``.
 
-    ``__slice`` cuts a key into parts of bounded size; only the counts of the parts
+    ``__slice`` cuts a key into parts of bounded size; only the counts of blocks of parts
     meet per key, so a key with a third of all rows is numbered in parallel.
     """
-    before = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    counts = df.groupBy(*keys, "__slice").agg(F.count("*").alias("__rows"))
-    starts = counts.select(*keys, "__slice", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    starts = slice_starts(df.groupBy(*keys, "__slice").agg(F.count("*").alias("__rows")), keys, "__rows", "__start")
     inside = F.row_number().over(Window.partitionBy(*keys, "__slice").orderBy(*order)) - 1
     return df.withColumn("__inside", inside).join(starts, [*keys, "__slice"]).withColumn(
         out, F.col("__start") + F.col("__inside")
@@ -57,10 +74,7 @@ def propagate(groups: DataFrame, rows: int, shards: int, rounds: int, seed: int)
     """
     quota = quotas(rows, shards)
     ordered = groups.withColumn("__slice", F.floor(unit_interval(F.xxhash64(F.lit(seed), "text_key")) * slices_of(F.lit(groups.count()))))
-    before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ordered.groupBy("__slice").agg(F.sum("n").alias("__n")).select(
-        "__slice", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
-    )
+    starts = slice_starts(ordered.groupBy("__slice").agg(F.sum("n").alias("__n")), [], "__n", "__start")
     inside = Window.partitionBy("__slice").orderBy("text_key").rowsBetween(Window.unboundedPreceding, -1)
     first = ordered.withColumn("__in", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(starts, "__slice")
     offset = (F.col("__start") + F.col("__in")) % shards
@@ -124,6 +138,19 @@ def propagate(groups: DataFrame, rows: int, shards: int, rounds: int, seed: int)
     return state
 
 
+def _with_groups(slim: DataFrame, grouped: DataFrame, rows: int) -> DataFrame:
+    """``slim`` with the columns of its text's group, nulls for rows without one.
+
+    Hot texts are at most ``HOT_TEXTS``, by their share of all rows, so those are sent to the rows.
+    Null texts have no group. All others meet their group by the text.
+    """
+    heavy = F.col("__n") * HOT_TEXTS >= rows
+    known = slim.join(F.broadcast(grouped.filter(heavy)), "__key", "left")
+    settled = F.col("__n").isNotNull() | F.col("__key").isNull()
+    others = known.filter(~settled).drop("__n", "__parts").join(grouped.filter(~heavy), "__key", "left")
+    return known.filter(settled).unionByName(others)
+
+
 def shard(docs: DataFrame, shards: int = 40, rounds: int = 10, seed: int = 29, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with size, text_crc32, law ``rows``, shard, slot and grown_shard (null under this law).
 
@@ -145,8 +172,8 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 10, seed: int = 29, t
     state = propagate(groups, rows, shards, rounds, seed)
     # the shards of a group as ranges of its members' numbers; at most ``shards`` entries
     ranges = state.groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("shard", "docs"))).alias("__parts"))
-    grouped = groups.join(ranges, "text_key").withColumnsRenamed({"text_key": "__key", "n": "__n"})
-    joined = slim.join(grouped, "__key", "left")
+    grouped = cut_lineage(groups.join(ranges, "text_key").withColumnsRenamed({"text_key": "__key", "n": "__n"}))
+    joined = _with_groups(slim, grouped, rows)
     linked = joined.filter("__n IS NOT NULL").withColumn("__slice", F.floor(unit_interval(F.col("__h")) * slices_of(F.col("__n"))))
     linked = numbered(linked, ["__key"], ["__h", doc_id], "__k")
     ends = F.transform(
@@ -161,10 +188,10 @@ def shard(docs: DataFrame, shards: int = 40, rounds: int = 10, seed: int = 29, t
     for s, q in enumerate(quotas(rows, shards)):
         total += q - held.get(s, 0)
         upto.append(total)
-    singles = joined.filter("__n IS NULL").withColumn("__all", F.lit(0)).withColumn(
+    singles = joined.filter("__n IS NULL").withColumn(
         "__slice", F.floor(unit_interval(F.col("__h")) * slices_of(F.lit(rows)))
     )
-    singles = numbered(singles, ["__all"], ["__h", doc_id], "__k").drop("__all")
+    singles = numbered(singles, [], ["__h", doc_id], "__k")
     bounds = F.array(*[F.lit(int(x)) for x in upto])
     singles = singles.withColumn("shard", F.size(F.filter(bounds, lambda e: e <= F.col("__k"))).cast("int"))
 

@@ -1,7 +1,11 @@
 import zlib
 from collections import Counter, defaultdict
 
-from flowspark.llm.sharding import propagate, quotas, shard
+import pytest
+from pyspark.sql import functions as F
+
+from flowspark.llm import sharding
+from flowspark.llm.sharding import numbered, propagate, quotas, shard, slice_starts
 
 
 def check(rows, total, shards):
@@ -62,3 +66,27 @@ def test_odd_rows(odd_docs, no_docs):
     check(rows, odd_docs.count(), 4)
     assert {(r["size"], r["text_crc32"]) for r in rows if r["text"] is None} == {(16, 0)}
     assert shard(no_docs, shards=4).count() == 0
+
+
+@pytest.mark.parametrize("block", [4096, 3])
+def test_sums_before_slices(spark, monkeypatch, block):
+    monkeypatch.setattr(sharding, "BLOCK_SLICES", block)
+    rows = [(k % 3, k // 3 * 2, k * k % 17) for k in range(60)]
+    table = spark.createDataFrame(rows, "k int, __slice long, v long")
+    got = {(r["k"], r["__slice"]): r["s"] for r in slice_starts(table, ["k"], "v", "s").collect()}
+    assert got == {(k, s): sum(v for a, b, v in rows if a == k and b < s) for k, s, _ in rows}
+    whole = slice_starts(table.groupBy("__slice").agg(F.sum("v").alias("v")), [], "v", "s").collect()
+    assert {r["__slice"]: r["s"] for r in whole} == {s: sum(v for _, b, v in rows if b < s) for _, s, _ in rows}
+    n = numbered(spark.range(500).selectExpr("id", "id % 41 AS __slice"), [], ["id"], "n").orderBy("__slice", "id").collect()
+    assert [r["n"] for r in n] == list(range(500))
+
+
+def test_hot_rare_and_null_texts_get_the_same_shards(spark, monkeypatch):
+    """Which texts count as hot decides the way to their groups, not the result."""
+    docs = spark.range(900).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'hot', IF(id % 3 = 1, NULL, 'p' || id % 200)) AS text")
+    results = []
+    for hot in (1, 20, 1000):
+        monkeypatch.setattr(sharding, "HOT_TEXTS", hot)
+        results.append(sorted((r["doc_id"], r["shard"], r["slot"]) for r in shard(docs, shards=7).collect()))
+        check([r for r in shard(docs, shards=7).collect()], 900, 7)
+    assert results[0] == results[1] == results[2]
