@@ -1,6 +1,10 @@
 """Tables that grow with the input are never sent through the driver."""
 
+import re
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from flowspark.catalog import derived as D
 from flowspark.catalog.corpus import stored_steps
@@ -37,3 +41,19 @@ def test_step_places_are_those_of_the_sql(spark, lines):
 def test_joins_of_steps_do_not_broadcast(spark, lines, work):
     plan = _plan(work(stored_steps(spark, lines)))
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_null_filters_of_long_words_are_found_in_one_pass(spark):
+    texts = ["a IS NOT NULLb IS NOT NULL", "é1 is  not\nnull AND t.x IS NOT NULL", "x IS NOT NULL IS NOT NULL", "IS NOT NULL", "w" * 400_000 + " IS NULL"]
+    steps = spark.createDataFrame([(k, f"S{k}", t) for k, t in enumerate(texts)], "flow long, name string, sql_text string")
+    started = time.time()
+    found = {(r.flow, r.fact) for r in L._facts(steps, L.NOT_NULL).collect()}
+    assert time.time() - started < 20  # trying every place of a word takes the square of its length
+    plain = re.compile(r"(\w+)\s+IS\s+NOT\s+NULL", re.I | re.A)
+    assert found == {(k, word.lower()) for k, t in enumerate(texts[:-1]) for word in plain.findall(t)} and (0, "b") in found
+
+
+def test_facts_of_steps_are_searched_once(spark, lines):
+    shared = L.Shared(stored_steps(spark, lines).withColumn("sql_text", F.lit("SELECT a FROM ${T} WHERE a IS NOT NULL")), ["filter", "source"])
+    for facts in (shared.filtered, shared.named_sources):
+        assert "regexp_extract_all" not in _plan(facts) and facts.count()
