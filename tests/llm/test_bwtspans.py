@@ -100,3 +100,25 @@ def test_segments_cover_each_window_once_and_equal_windows_meet(monkeypatch):
                     assert anchors.setdefault(body[k : k + 50], anchor) == anchor
     total = sum(max(len(t.encode()) - 49, 0) for t in texts)
     assert len(places) == 2 * total and set(places.values()) == {1}
+
+
+def test_borders_are_found_near_and_far():
+    rng = np.random.default_rng(3)
+    held = bytearray((rng.random(5000) < 0.02).astype(np.uint8).tobytes())
+    held[0] = 1
+    held[2000:3000] = bytes(1000)
+    before = bytes(held)
+    front = np.sort(rng.choice(np.arange(1, 5000), 800, replace=False))
+    borders = np.flatnonzero(np.frombuffer(held, bool))
+    assert bwtspans._borders_before(held, front).tolist() == borders[np.searchsorted(borders, front) - 1].tolist()
+    assert bytes(held) == before and bwtspans._borders_before(held, front[:0]).tolist() == []
+
+
+def test_a_search_does_not_list_all_borders_per_symbol(monkeypatch):
+    r = random.Random(5)
+    bodies = [bytes(r.choices(b"abcdefgh", k=400)) for _ in range(50)]
+    bodies += [b[:300] + bytes(r.choices(b"abcdefgh", k=100)) for b in bodies]
+    large, real = [], np.flatnonzero
+    monkeypatch.setattr(bwtspans.np, "flatnonzero", lambda x: (large.append(len(x)), real(x))[1])
+    places = repeated_windows(bodies, 200)
+    assert sum(map(len, places)) >= 2 * 50 * 101 and sum(n > 30_000 for n in large) < 20
