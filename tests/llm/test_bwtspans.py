@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from flowspark.llm import bwtspans
 from flowspark.llm.bwtspans import _slices, remove_repeats, repeated_windows, segments
@@ -122,3 +123,15 @@ def test_a_search_does_not_list_all_borders_per_symbol(monkeypatch):
     monkeypatch.setattr(bwtspans.np, "flatnonzero", lambda x: (large.append(len(x)), real(x))[1])
     places = repeated_windows(bodies, 200)
     assert sum(map(len, places)) >= 2 * 50 * 101 and sum(n > 30_000 for n in large) < 20
+
+
+def test_texts_are_stored_a_file_a_bucket_and_joined_where_they_lie(spark):
+    docs = spark.createDataFrame([(k, f"text {k % 300}") for k in range(400)], "doc_id long, text string").repartition(5)
+    texts = bwtspans.distinct_texts(docs)
+    assert texts.count() == 300
+    assert len(texts.inputFiles()) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    places = texts.select("t1", "t2").withColumn("n", F.lit(1)).repartition(3)
+    plan = texts.join(places.hint("merge"), ["t1", "t2"])._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "body" in line)
+    assert "Bucketed: true" in scan
+    assert texts.join(places.hint("merge"), ["t1", "t2"]).count() == 300
