@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from flowspark.functions.text import error_class, safe_name
+from flowspark.functions.text import error_class, json_object, safe_name
 from flowspark.operators import corpus as C
 
 
@@ -129,3 +129,26 @@ def test_prompts(spark):
     ).first()
     assert r.g.endswith("do it\n\nRespond with ONLY the JSON flow definition. No extra text.")
     assert "score < 8.5/10):\nbad\n\n" in r.t and r.e.endswith("```json\n{}\n```")
+
+
+def test_answers_are_parsed_in_one_pass_and_not_carried_on(spark):
+    """Neither the text nor the loose document travels from one step of parsing to the next."""
+    answers = spark.range(3).selectExpr("id AS flow", "concat('x {\"name\":\"a\",\"steps\":[]} y', id) AS response")
+    parsed = C.parse_flows(answers)
+    plan = parsed.select("flow", "status", "reason", "document")._jdf.queryExecution().optimizedPlan().toString()
+    carried = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert len(carried) == 2 and plan.count("variant_get") and "response#" not in plan.split("Generate explode")[1]
+    assert [r.status for r in parsed.collect()] == ["ok"] * 3 and parsed.columns[:3] == ["flow", "response", "json"]
+
+
+def test_braces_are_found_in_one_pass(spark):
+    texts = ["", None, "{", "}", "}{", "{}", "a{b}c}d", "}}{{}}x", "é{ü}ö", "{\n}\n", "```", "```{}", "```x{a", "x```{a}```{b}```", "{``` }", "``` {1} ``` {2}", "``````{}", "{" * 300_000, "{" * 300_000 + "}"]
+
+    def plain(text):
+        parts = (text or "").split("```", 2)
+        inner = parts[1] if len(parts) == 3 else text or ""
+        first, last = inner.find("{"), inner.rfind("}")
+        return inner[first : last + 1] if -1 < first < last else None
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string").select("k", json_object("t").alias("j")).orderBy("k").collect()
+    assert [r.j for r in rows] == [plain(t) for t in texts]
