@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowspark.llm import sharding
-from flowspark.llm.sharding import numbered, propagate, quotas, shard, slice_starts
+from flowspark.llm.sharding import numbered, propagate, propagated, quotas, shard, slice_starts
 
 
 def check(rows, total, shards):
@@ -90,3 +90,42 @@ def test_hot_rare_and_null_texts_get_the_same_shards(spark, monkeypatch):
         results.append(sorted((r["doc_id"], r["shard"], r["slot"]) for r in shard(docs, shards=7).collect()))
         check([r for r in shard(docs, shards=7).collect()], 900, 7)
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("slice_rows", [256, 1])
+def test_driver_knows_what_moved(spark, monkeypatch, slice_rows):
+    """Limits are met to the document, in one slice a level and in many; no text loses or gains documents."""
+    monkeypatch.setattr(sharding, "SLICE_ROWS", slice_rows)
+    sizes = {f"t{k}": 2 + (k * k) % 7 + 90 * (k == 5) for k in range(200)}
+    groups = spark.createDataFrame(list(sizes.items()), "text_key string, n long")
+    rows = sum(sizes.values()) + 20
+    for rounds in (0, 1, 2, 5):
+        state, held = propagated(groups, rows, 6, rounds, 3)
+        state = state.collect()
+        found = Counter()
+        for r in state:
+            assert sum(p["docs"] for p in r["parts"]) == r["n"] == sizes[r["text_key"]] and all(p["docs"] > 0 for p in r["parts"])
+            assert len({p["shard"] for p in r["parts"]}) == len(r["parts"])
+            for p in r["parts"]:
+                found[p["shard"]] += p["docs"]
+        assert len(state) == len(sizes) and found == Counter(held)
+        assert all(held[s] <= q for s, q in enumerate(quotas(rows, 6)))
+
+
+def test_a_round_moves_no_rows(spark):
+    """A round is a sum per pair of shards, the places of limits and a pass over the state: few jobs, and no shuffle of it."""
+    groups = spark.createDataFrame([(f"t{k}", 2 + k % 9) for k in range(300)], "text_key string, n long")
+    jobs = []
+    for rounds in (0, 6):
+        spark.sparkContext.setJobGroup(f"rounds {rounds}", "")
+        propagate(groups, 2000, 40, rounds, 1)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"rounds {rounds}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 6 <= jobs[1] - jobs[0] <= 6 * 6
+
+
+def test_keeps_the_columns_asked_for(odd_docs):
+    out = shard(odd_docs, shards=4, keep=["source"])
+    assert out.columns == ["source", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    whole = shard(odd_docs, shards=4).select(*out.columns)
+    assert sorted(map(str, out.collect())) == sorted(map(str, whole.collect()))
