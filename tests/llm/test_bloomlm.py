@@ -192,3 +192,36 @@ def test_word_pairs_help(spark, monkeypatch):
     whole = told()
     monkeypatch.setattr(bloomlm, "HEAD_PAIRS", 0)
     assert whole > told() + 0.3
+
+
+def test_pairs_outside_the_filter_score_the_same(spark, monkeypatch):
+    """Which pairs are broadcast, and which words are frequent, decides the way to a pair's count and not whether it counts."""
+    texts = [" ".join(f"w{(k * k + j * (1 + k % 3)) % 23}" for j in range(5 + k % 40)) for k in range(120)] + [None, "", "never seen"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(bloomlm, "CLASSES", 4)
+    scores = []
+    for limit in (1_000_000, 40):
+        monkeypatch.setattr(bloomlm, "HEAD_PAIRS", limit)
+        for head in (1000, 6):
+            scores.append({r["doc_id"]: r["score"] for r in bloomlm.score(table, head_words=head, keep=["doc_id"]).collect()})
+    for other in scores[1:]:
+        # a filter may err on a pair or a word, seldom
+        off = sorted(abs(scores[0][d] - other[d]) / (1 - scores[0][d]) for d in scores[0])
+        assert off[len(off) // 2] < 1e-9 and off[len(off) * 9 // 10] < 0.02
+
+
+def test_rare_pairs_are_those_of_plain_python(spark):
+    texts = ["a b a c", "b", None, "c c d a"]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    hashes = {w: next(pieces(pa.array([w]))).word_hashes()[0] for w in "abcd"}
+    head = np.sort(np.array([hashes["a"], hashes["b"]], np.uint64))
+    key = {w: int(bloomlm.word_keys(np.array([h]), bloomlm.head_numbers(np.array([h]), head))[0]) for w, h in hashes.items()} | {None: 0}
+    assert {w for w, k in key.items() if k < 0} == {"c", "d"}
+    expected = Counter(
+        (key[a], key[b]) for t in texts for a, b in neighbours((t or "").split(), set("abcd")) if key[a] < 0 or key[b] < 0
+    )
+    rare = bloomlm.rare_pair_counts(table, head)
+    assert {(r["first"], r["second"]): r["c"] for r in rare.collect()} == expected
+    every = bloomlm.words_before(bloomlm.word_pair_counts(table, head), rare)
+    counts = Counter(a for t in texts for a, _ in neighbours((t or "").split(), set("abcd")))
+    assert {r["first"]: r["n"] for r in every.collect()} == {key[a]: n for a, n in counts.items()}
