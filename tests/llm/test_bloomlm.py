@@ -1,6 +1,8 @@
 import math
+import os
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -225,3 +227,54 @@ def test_rare_pairs_are_those_of_plain_python(spark):
     every = bloomlm.words_before(bloomlm.word_pair_counts(table, head), rare)
     counts = Counter(a for t in texts for a, _ in neighbours((t or "").split(), set("abcd")))
     assert {r["first"]: r["n"] for r in every.collect()} == {key[a]: n for a, n in counts.items()}
+
+
+def test_places_outside_the_filter_are_stored_packed(spark, monkeypatch):
+    """What the job stores for a token stays small when most of the places are not in the broadcast filter."""
+    r = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in r.zipf(1.3, 400) % 5000) for _ in range(300)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(bloomlm, "HEAD_PAIRS", 100)
+    stored, store = [], bloomlm.cut_lineage
+
+    def kept(df):
+        out = store(df)
+        stored.extend(os.path.getsize(urlparse(f).path) for f in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(bloomlm, "cut_lineage", kept)
+    assert bloomlm.score(table, head_words=2000, keep=["doc_id"]).count() == 300
+    assert sum(stored) < 9 * 300 * 401
+
+
+def test_packed_numbers_come_back():
+    for numbers in ([], [7], [-5, -5, 0, 1 << 62], [-(1 << 63), (1 << 63) - 1]):
+        x = np.array(numbers, np.int64)
+        assert (bloomlm.unpack(bloomlm.pack(x), len(x)) == x).all() and (bloomlm.unpack(bloomlm.pack(x, True), len(x), True) == x).all()
+
+
+@pytest.mark.parametrize("buckets, fold", [(1, 1 << 20), (5, 100)])
+def test_packed_pairs_are_the_plain_ones(spark, docs, monkeypatch, buckets, fold):
+    monkeypatch.setattr(bloomlm, "FOLD_PLACES", fold)
+    monkeypatch.setattr(bloomlm, "KEPT_NUMBERS", 64)
+    some = docs.limit(60)
+    counts = Counter(x for r in some.select("text").collect() for x in words(r["text"], lower=True))
+    head = np.sort(np.array([next(pieces(pa.array([w.decode() if isinstance(w, bytes) else w]))).word_hashes()[0] for w, _ in counts.most_common(200)]))
+    own = np.concatenate([[bloomlm.BOUNDARY], bloomlm.classes_of(head, head[:50]), [bloomlm.SHARED]])
+    table = bloomlm.packed_pairs(some, head, own, buckets).cache()
+    plain, rare = bloomlm.word_pair_counts(some, head), bloomlm.rare_pair_counts(some, head)
+    expected = {r["pair"]: r["c"] for r in plain.collect()}
+    assert {r["pair"]: r["c"] for r in bloomlm.unpacked(table, bloomlm.PAIRS).collect()} == expected
+    classes = Counter()
+    for r in plain.collect():
+        classes[own[r["pair"] >> 32] * bloomlm.CLASSES + own[r["pair"] & 0xFFFFFFFF]] += r["c"]
+    for r in rare.collect():
+        classes[own[max(r["first"], -1)] * bloomlm.CLASSES + own[max(r["second"], -1)]] += r["c"]
+    assert {r["pair"]: r["c"] for r in bloomlm.unpacked(table, bloomlm.CLASS_PAIRS).collect()} == classes
+    kept = bloomlm.kept_after(table, len(head))
+    assert {k: x for k, x in enumerate(kept) if x} == {
+        r["first"]: r["kept"] for r in bloomlm.words_before(plain, rare).collect() if r["first"] >= 0
+    }
+    for limit in (0, 50, 1 << 20):
+        want = {r["pair"]: r["c"] for r in bloomlm.most_frequent(plain, limit).collect()}
+        assert {r["pair"]: r["c"] for r in bloomlm.frequent_pairs(table, limit).collect()} == want
