@@ -34,6 +34,22 @@ def test_counts_and_ratios(docs, labels):
         assert np.isclose(ratios[b], np.sign(r) * max(0, abs(r) - np.sqrt(1 / t + 1 / e) - 0.5))
 
 
+def test_raw_model_counts_beside_labelled_documents(spark):
+    """Buckets 1 and 2 differ in all documents only; bucket 3 is common, but no labelled document holds it."""
+    rows = [(0, 400, 40, 40), (1, 400, 30, 10), (2, 40, 30, 10), (3, 900, 0, 0), (4, 60, 1, 30)]
+    table = spark.createDataFrame(rows, "bucket int, raw long, target long, bad long")
+    ratios = importance.labelled_ratios(table, 50, 45)
+    share = sum(r[2] for r in rows) / sum(r[1] for r in rows)
+    certain = lambda a, b, r, c: np.sign(r) * max(0, abs(r) - c * np.sqrt(1 / a + 1 / b) - importance.DEAD_ZONE)
+    for bucket, raw, target, bad in rows:
+        t, e, b = target + 1, raw * share + 1, bad + 1
+        want = certain(t, e, np.log(t / e), importance.CERTAINTY)
+        if target + bad:
+            want += certain(t, b, np.log(t / 52 / (b / 47)), importance.LABELLED_CERTAINTY)
+        assert np.isclose(ratios[bucket], importance.SHARPNESS * want)
+    assert ratios[2] > ratios[1] and ratios[3] < 0 and ratios[5:].any() == 0
+
+
 def test_greatest(spark):
     values = np.random.default_rng(0).integers(0, 1 << 62, 500).tolist() + [0, (1 << 62) - 1, 5, 5, 5]
     keys = spark.createDataFrame([(v,) for v in values], "key long")
